@@ -1,0 +1,11 @@
+"""Parameters of the registered queries; every operator takes them as arguments."""
+
+YEAR, NEXT_YEAR = 1999, 2000
+COLD_GROUP = [21, 11]
+FLAT_GROUP = [24, 14]
+WATCHED = [8, 18]
+SPOTLIGHT = 9
+DEMO_DIVISION = 14
+BIAS_GROUP = [24, 14, 22, 12]
+BIAS_WEEKDAY = "Thursday"
+SEED = 42

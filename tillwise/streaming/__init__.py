@@ -1,0 +1 @@
+"""Empty on purpose: every query of this engine is a batch query over stored tables."""
