@@ -2,9 +2,9 @@
 
 
 def all_statements() -> dict[str, str]:
-    from oracle import prep, sales, segments, trends
+    from oracle import features, prep, sales, segments, trends
 
     out: dict[str, str] = {}
-    for module in (sales, segments, trends, prep):
+    for module in (sales, segments, trends, prep, features):
         out.update(module.SQL)
     return out

@@ -107,14 +107,15 @@ def allocate(daily: DataFrame, products: DataFrame) -> DataFrame:
     """
     exact = "decimal(18,6)"
     weighted = F.transform(
-        division_list(products),
+        "divisions",
         lambda d: F.struct(
             d.alias("of"), division_weight(d["division_code"], F.col("temperature_index")).alias("weight")
         ),
     )
     whole = F.aggregate("parts", F.lit(0).cast(exact), lambda acc, p: (acc + p["weight"]).cast(exact))
     spread = (
-        daily.select("date", "actual_sales", "achievement_pct", "yoy_pct", weighted.alias("parts"))
+        daily.withColumn("divisions", division_list(products))
+        .select("date", "actual_sales", "achievement_pct", "yoy_pct", weighted.alias("parts"))
         .withColumn("whole", whole)
         .select("*", F.explode("parts").alias("part"))
         .withColumn("sales_amt", fixed(dbl("actual_sales") * (dbl("part.weight") / dbl("whole")), 2))
