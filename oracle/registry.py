@@ -2,9 +2,9 @@
 
 
 def all_statements() -> dict[str, str]:
-    from oracle import features, forecast, prep, sales, segments, trends
+    from oracle import dashboard, features, forecast, prep, sales, segments, trends
 
     out: dict[str, str] = {}
-    for module in (sales, segments, trends, prep, features, forecast):
+    for module in (sales, segments, trends, prep, features, forecast, dashboard):
         out.update(module.SQL)
     return out

@@ -191,14 +191,11 @@ def contributions(model, train: DataFrame, rows: DataFrame, columns=FEATURE_COLS
     means = train.agg(F.struct(*[F.avg(f"x_{c}").alias(c) for c in columns])).scalar()
     weights = dict(zip(columns, model.coefficients.tolist()))
     base = reduce(lambda a, b: a + b, [F.col(f"_m.{c}") * w for c, w in weights.items()]) + float(model.intercept)
-    wide = rows.withColumn("_m", means).select(
-        "date", "division_code", base.alias("base"),
-        *[((F.col(f"x_{c}") - F.col(f"_m.{c}")) * w).alias(c) for c, w in weights.items() if c != "division_code"],
-        ((F.col("x_division_code") - F.col("_m.division_code")) * weights["division_code"]).alias("division_code_"),
-    )
-    values = [c for c in wide.columns if c not in ("date", "division_code", "base")]
-    long = wide.unpivot(["date", "division_code", "base"], values, "feature", "contribution")
-    return long.withColumn("feature", F.regexp_replace("feature", "_$", ""))
+    parts = [((F.col(f"x_{c}") - F.col(f"_m.{c}")) * w).alias(f"part_{c}") for c, w in weights.items()]
+    wide = rows.withColumn("_m", means).select("date", "division_code", base.alias("base"), *parts)
+    return wide.unpivot(
+        ["date", "division_code", "base"], [f"part_{c}" for c in columns], "feature", "contribution"
+    ).withColumn("feature", F.substring("feature", len("part_") + 1, 99))
 
 
 def driver_importance(attribution: DataFrame) -> DataFrame:
@@ -238,12 +235,14 @@ def walk_forward_least_squares(matrix: DataFrame, columns=FEATURE_COLS) -> DataF
                 yhat[i] = x[i] @ np.linalg.solve(gram + RIDGE * np.eye(size), moment)
             gram += np.outer(x[i], x[i])
             moment += x[i] * y[i]
-        return pdf.assign(yhat=yhat)[["date", "division_code", "day_of_week", "event_flag", "y", "yhat"]]
+        return pdf.assign(yhat=yhat)[["date", "division_code", "day_of_week", "event_flag", "sales_amt", "yhat"]]
 
     design = matrix.select(
-        "date", "division_code", "day_of_week", "event_flag", dbl("sales_amt").alias("y"),
+        "date", "division_code", "day_of_week", "event_flag", "sales_amt", dbl("sales_amt").alias("y"),
         F.array(F.lit(1.0), *map(F.col, names)).alias("x"),
     )
-    return per_division(
-        design, fit, "date date, division_code int, day_of_week string, event_flag string, y double, yhat double"
+    fitted = per_division(
+        design, fit,
+        "date date, division_code int, day_of_week string, event_flag string, sales_amt decimal(18,2), yhat double",
     ).where(F.col("yhat").isNotNull() & ~F.isnan("yhat"))
+    return fitted.withColumn("predicted_sales", fixed("yhat", 2)).drop("yhat")

@@ -41,25 +41,35 @@ def eligible_dates(joined: DataFrame, warm_up_weeks: int = WARM_UP_WEEKS, min_ro
     )
 
 
-def walk_forward_means(joined: DataFrame, horizon: int = 1) -> DataFrame:
-    """Forecast every day from the days at least `horizon` days before it.
-
-    The forecast is the mean of the division's earlier days with the same weekday; the
-    band is that mean plus and minus the spread of the earlier forecasts' errors. Both are
-    expanding frames over the same partitioning, so the refits are one pass over the data.
-    """
-    past = (
+def history_before(horizon: int) -> Window:
+    """The same division's and weekday's rows at least `horizon` days before."""
+    return (
         Window.partitionBy(*GROUP)
         .orderBy(F.unix_date("date"))
         .rangeBetween(Window.unboundedPreceding, -horizon)
     )
-    forecast = joined.withColumn("predicted_sales", fixed(mean_over("sales_amt", past), 2))
-    error = F.col("sales_amt") - F.col("predicted_sales")
+
+
+def walk_forward_means(joined: DataFrame, horizon: int = 1) -> DataFrame:
+    """Forecast every day from the days at least `horizon` days before it.
+
+    The forecast is the mean of the division's earlier days with the same weekday. Forecast
+    and band are expanding frames over one partitioning, so all refits are one pass.
+    """
+    mean_before = fixed(mean_over("sales_amt", history_before(horizon)), 2)
+    return with_band(joined.withColumn("predicted_sales", mean_before), horizon)
+
+
+def with_band(forecast: DataFrame, horizon: int = 1) -> DataFrame:
+    """Adds bounds: the forecast plus and minus the spread of the earlier forecasts' errors."""
+    past = history_before(horizon)
     n = F.count("_error").over(past)
     s = dbl(F.sum("_error").over(past))
     squares = dbl(F.sum((F.col("_error") * F.col("_error")).cast("decimal(38,4)")).over(past))
     deviation = F.when(n >= 2, F.sqrt(F.greatest(F.lit(0.0), squares - s * s / n) / n))
-    spread = forecast.withColumn("_error", error).withColumn("_band", deviation * BAND_DEVIATIONS)
+    spread = forecast.withColumn("_error", F.col("sales_amt") - F.col("predicted_sales")).withColumn(
+        "_band", deviation * BAND_DEVIATIONS
+    )
     return spread.withColumns(
         {
             "lower_bound": fixed(dbl("predicted_sales") - F.col("_band"), 2),

@@ -2,11 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tillwise.functions.numeric import MONEY, fixed
 from tillwise.operators import features as feat
 from tillwise.operators import forecast as fc
 from tillwise.operators import monitor as mon
-from tillwise.plans.features import built, joined, split
+from tillwise.plans.features import joined, split
 from tillwise.plans.settings import BIAS_GROUP, BIAS_WEEKDAY, DEMO_DIVISION, SEED
 from tillwise.sources.scratch import durable
 
@@ -46,15 +45,10 @@ def comparison(s):
 
 
 def least_squares_log(s):
-    """The log of the regression model: the bounds come from the running spread of its own errors."""
-    fitted = fc.walk_forward_least_squares(feat.feature_matrix(built(s)))
-    return fitted.select(
-        F.date_sub("date", mon.LOG_LEAD_DAYS).alias("forecast_date"),
-        F.col("date").alias("target_date"), "division_code",
-        fixed("yhat", 2).alias("predicted_sales"),
-        F.nullif(F.col("y").cast(MONEY), F.lit(0).cast(MONEY)).alias("actual_sales"),
-        F.concat_ws("/", "day_of_week", "event_flag").alias("context_flags"),
-    )
+    """The log of the regression model, refitted before every day."""
+    rows = joined(s)
+    fitted = fc.walk_forward_least_squares(feat.feature_matrix(feat.build_features(rows)))
+    return mon.as_log(mon.with_band(fitted), mon.eligible_dates(rows))
 
 
 def day_contexts(s):

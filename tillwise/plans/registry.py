@@ -20,10 +20,10 @@ def as_query(plan: Plan) -> Query:
 
 
 def all_plans() -> dict[str, Plan]:
-    from tillwise.plans import features, forecast, prep, sales, segments
+    from tillwise.plans import dashboard, features, forecast, prep, sales, segments
 
     plans: dict[str, Plan] = {}
-    for module in (sales, segments, prep, features, forecast):
+    for module in (sales, segments, prep, features, forecast, dashboard):
         plans.update(module.PLANS)
     return plans
 
