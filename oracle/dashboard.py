@@ -1,7 +1,7 @@
 """Check statements of the report-page queries."""
 
 from oracle.features import FEATURES, JOINED
-from oracle.forecast import BIAS, DAYS, LOG, LOOKUP
+from oracle.forecast import BIAS, DAYS, KNOWN_BIAS, LOG, LOOKUP
 from oracle.tables import statement as q
 
 Y1, Y2 = 1999, 2000
@@ -116,8 +116,8 @@ SELECT count(*) AS num_flags, count(*) FILTER (direction = 'underestimating') AS
          AS longest_streak_division
 FROM flags"""),
     "dash_division_list": q(TABLES, LOG + "\nSELECT DISTINCT division_code, division_name FROM log"),
-    "dash_bias_by_division": q(TABLES, BIAS + """
-, own AS (SELECT * FROM bias WHERE division_code = 14 AND b IS NOT NULL)
+    "dash_bias_by_division": q(TABLES, KNOWN_BIAS + """
+, own AS (SELECT * FROM known_bias WHERE division_code = 14 AND b IS NOT NULL)
 SELECT target_date::VARCHAR AS target_date, division_code, day_of_week, se::DOUBLE AS signed_error_pct, b AS rolling_6w_bias
 FROM own WHERE own.target_date >= (SELECT max(target_date) FROM own) - 365"""),
     "dash_bias_table": q(TABLES, BIAS + """

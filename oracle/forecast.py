@@ -47,6 +47,11 @@ flags AS (
          round(latest, 2) AS latest_rolling_bias_pct, latest,
          CASE WHEN latest > 0 THEN 'underestimating' ELSE 'overestimating' END AS direction
   FROM runs WHERE n >= 4 AND streak >= 4)"""
+KNOWN_BIAS = LOG + """
+, known_bias AS (
+  SELECT *, CASE WHEN count(*) OVER w >= 4 THEN sum(se) OVER w::DOUBLE / count(*) OVER w END AS b
+  FROM (SELECT * FROM log WHERE actual_sales IS NOT NULL)
+  WINDOW w AS (PARTITION BY division_code, day_of_week ORDER BY target_date ROWS 5 PRECEDING))"""
 LOOKUP = LOG + """
 , lookup AS (
   SELECT day_of_week, event_flag, sum(abs(se))::DOUBLE / count(se) AS mean_mape
@@ -120,10 +125,10 @@ FROM scored GROUP BY scored.date"""),
     "fc_ci_daily": q(TABLES, PLAIN + """
 SELECT date::VARCHAR AS date, sum(sales_amt)::DOUBLE AS actual, sum(predicted)::DOUBLE AS pred_median,
        sum(lower)::DOUBLE AS pred_lower, sum(upper)::DOUBLE AS pred_upper FROM scored GROUP BY scored.date"""),
-    "fc_bias_series": q(TABLES, BIAS + """
+    "fc_bias_series": q(TABLES, KNOWN_BIAS + """
 SELECT target_date::VARCHAR AS target_date, division_code, day_of_week, se::DOUBLE AS signed_error_pct,
        b AS rolling_6w_bias, abs(b) > 5 AS flagged
-FROM bias WHERE division_code IN (24, 14, 22, 12) AND day_of_week = 'Thursday' AND b IS NOT NULL"""),
+FROM known_bias WHERE division_code IN (24, 14, 22, 12) AND day_of_week = 'Thursday' AND b IS NOT NULL"""),
     "fc_error_heatmap": q(TABLES, LOG + "\nSELECT division_name, " + ", ".join(
         f"round((sum(se) FILTER (day_of_week = '{d}'))::DOUBLE / nullif(count(se) FILTER (day_of_week = '{d}'), 0), 4)"
         f' AS "{d}"' for d in DAYS) + " FROM log GROUP BY 1"),

@@ -120,8 +120,7 @@ def division_names(division_days: DataFrame) -> DataFrame:
 def named_log(log: DataFrame, division_days: DataFrame) -> DataFrame:
     """Log rows that have an actual, with division name and weekday."""
     return (
-        with_context(log)
-        .where(F.col("actual_sales").isNotNull())
+        with_context(known_rows(log))
         .join(division_names(division_days), "division_code", "left")
         .select("forecast_date", "target_date", "division_code", "division_name", "predicted_sales",
                 "lower_bound", "upper_bound", "actual_sales", "error_pct", "context_flags",
@@ -142,6 +141,11 @@ def rolling_bias(log: DataFrame) -> DataFrame:
     )
 
 
+def known_rows(log: DataFrame) -> DataFrame:
+    """Log rows with an actual, as the report pages read them: the six-row frame then skips empty days."""
+    return log.where(F.col("actual_sales").isNotNull())
+
+
 def bias_streaks(bias: DataFrame, threshold: float = BIAS_THRESHOLD) -> DataFrame:
     """Length of the newest run of values beyond the threshold, per division and weekday."""
     known = bias.where(F.col("rolling_6w_bias").isNotNull()).withColumn(
@@ -212,7 +216,7 @@ def reliability(contexts: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def bias_series(log: DataFrame, codes: list[int], weekday: str, threshold: float = BIAS_THRESHOLD) -> DataFrame:
-    chosen = log.where(F.col("division_code").isin(codes))
+    chosen = known_rows(log).where(F.col("division_code").isin(codes))
     return (
         rolling_bias(chosen)
         .where((F.col("day_of_week") == weekday) & F.col("rolling_6w_bias").isNotNull())

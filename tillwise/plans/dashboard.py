@@ -61,6 +61,8 @@ PLANS = {
     "dash_top_flags": lambda s: dash.top_flags(flags(s)),
     "dash_flag_kpis": lambda s: dash.flag_kpis(flags(s)),
     "dash_division_list": lambda s: dash.division_list(log(s), mon.division_names(s.division_days)),
-    "dash_bias_by_division": lambda s: dash.bias_of_division(mon.rolling_bias(log(s)), DEMO_DIVISION, "1Y"),
+    "dash_bias_by_division": lambda s: dash.bias_of_division(
+        mon.rolling_bias(mon.known_rows(log(s))), DEMO_DIVISION, "1Y"
+    ),
     "dash_bias_table": lambda s: dash.bias_table(flags(s)),
 }

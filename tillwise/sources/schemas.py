@@ -4,6 +4,10 @@ Money is decimal so that sums are exact; flags are boolean; dates are dates. Ids
 text in files; the operators only compare them, so integer keys work as well.
 """
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 SCHEMAS: dict[str, str] = {
     "products": """sku_id string, division_code int, division_name string, department string,
         product_name string, price_tier string, unit_price decimal(12,2), season string,
@@ -49,3 +53,14 @@ REFERENCES: list[tuple[str, str, str, str]] = [
     ("transaction_items", "sku_id", "products", "sku_id"),
     ("inventory", "sku_id", "products", "sku_id"),
 ]
+
+
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """The table's columns in contract order and type; columns the source cannot give are null."""
+    fields = T.StructType.fromDDL(SCHEMAS[table]).fields
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in fields
+        ]
+    )
