@@ -9,7 +9,6 @@ from tillwise.operators import forecast as fc
 from tillwise.operators import monitor as mon
 from tillwise.plans.features import built, joined
 from tillwise.plans.forecast import log, matrices
-from tillwise.plans.settings import DEMO_DIVISION, NEXT_YEAR, SEED, YEAR
 
 RANGE = "3M"
 
@@ -25,7 +24,7 @@ def scenarios(s):
 def scenario_forecast(s):
     """Boosted-tree answers to the scenario grid, with bounds from the training errors."""
     train, _ = matrices(s)
-    model = fc.fit_boosted(train, seed=SEED)
+    model = fc.fit_boosted(train, seed=s.settings.seed)
     off = dbl("sales_amt") - F.col("yhat")
     spread = fc.predict(model, train).groupBy("division_code").agg(
         F.percentile(off, fc.LOWER_QUANTILE).alias("low_error"),
@@ -44,7 +43,7 @@ def scenario_vs_history(s):
 
 PLANS = {
     "dash_filter_range": lambda s: dash.filter_range(s.sales_days, "date", RANGE),
-    "dash_store_kpis": lambda s: dash.store_kpis(s.daily_sales, YEAR, NEXT_YEAR),
+    "dash_store_kpis": lambda s: dash.store_kpis(s.daily_sales, s.settings.year, s.settings.next_year),
     "dash_trend": lambda s: dash.trend(s.sales_days, RANGE),
     "dash_dow_average": lambda s: dash.dow_average(s.daily_sales),
     "dash_division_monthly": lambda s: dash.division_monthly(s.division_daily),
@@ -55,14 +54,14 @@ PLANS = {
     "dash_scenario_rows": scenarios,
     "dash_scenario_forecast": scenario_forecast,
     "dash_scenario_vs_history": scenario_vs_history,
-    "dash_month_bars": lambda s: dash.month_bars(joined(s), DEMO_DIVISION, "1Y"),
+    "dash_month_bars": lambda s: dash.month_bars(joined(s), s.settings.demo_division, "1Y"),
     "dash_mape_heatmap": lambda s: dash.mape_heatmap(mon.lookup_from_log(log(s))),
     "dash_ci_series": lambda s: dash.ci_series(mon.named_log(log(s), s.division_days), RANGE),
     "dash_top_flags": lambda s: dash.top_flags(flags(s)),
     "dash_flag_kpis": lambda s: dash.flag_kpis(flags(s)),
     "dash_division_list": lambda s: dash.division_list(log(s), mon.division_names(s.division_days)),
     "dash_bias_by_division": lambda s: dash.bias_of_division(
-        mon.rolling_bias(mon.known_rows(log(s))), DEMO_DIVISION, "1Y"
+        mon.rolling_bias(mon.known_rows(log(s))), s.settings.demo_division, "1Y"
     ),
     "dash_bias_table": lambda s: dash.bias_table(flags(s)),
 }

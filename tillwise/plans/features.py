@@ -2,7 +2,6 @@
 
 
 from tillwise.operators import features as feat
-from tillwise.plans.settings import DEMO_DIVISION
 
 ROW = ["date", "division_code"]
 
@@ -36,7 +35,7 @@ PLANS = {
         *ROW, "temperature_index", *[c.alias(n) for n, c in feat.cold_snap_column().items()]
     ),
     "build_features": built,
-    "feat_series_frame": lambda s: feat.series_frame(joined(s), DEMO_DIVISION),
+    "feat_series_frame": lambda s: feat.series_frame(joined(s), s.settings.demo_division),
     "split_temporal": lambda s: feat.label_split(joined(s)).select(*ROW, "sales_amt", "is_test"),
     "feature_matrix": lambda s: feat.feature_matrix(built(s)).drop("division_name", "day_of_week", "event_flag"),
     "split_validation": lambda s: feat.validation_split(feat.temporal_split(joined(s))[0]).select(

@@ -6,7 +6,6 @@ from tillwise.operators import features as feat
 from tillwise.operators import forecast as fc
 from tillwise.operators import monitor as mon
 from tillwise.plans.features import joined, split
-from tillwise.plans.settings import BIAS_GROUP, BIAS_WEEKDAY, DEMO_DIVISION, SEED
 from tillwise.sources.scratch import durable
 
 
@@ -28,7 +27,7 @@ def matrices(s):
 
 def boosted(s):
     train, test = matrices(s)
-    model = fc.fit_boosted(feat.validation_split(train), seed=SEED)
+    model = fc.fit_boosted(feat.validation_split(train), seed=s.settings.seed)
     return fc.predict(model, test).withColumn("y", F.col("sales_amt").cast("double"))
 
 
@@ -90,7 +89,7 @@ PLANS = {
     "fc_ci_daily": lambda s: mon.daily_totals(
         plain(s), "date", actual="sales_amt", pred_median="predicted", pred_lower="lower", pred_upper="upper"
     ),
-    "fc_seasonal_ci": lambda s: fc.seasonal_band(feat.label_split(joined(s)), DEMO_DIVISION),
-    "fc_bias_series": lambda s: mon.bias_series(log(s), BIAS_GROUP, BIAS_WEEKDAY),
+    "fc_seasonal_ci": lambda s: fc.seasonal_band(feat.label_split(joined(s)), s.settings.demo_division),
+    "fc_bias_series": lambda s: mon.bias_series(log(s), s.settings.bias_group, s.settings.bias_weekday),
     "fc_error_heatmap": lambda s: mon.error_heatmap(log(s), s.division_days),
 }

@@ -13,14 +13,8 @@ def marketing_segments(s):
     return s.customers.select("customer_id", segment.alias("segment"))
 
 
-def promo_lines(s):
-    return s.lines.select(
-        "transaction_id", "sku_id", "quantity", "unit_price", "gp_ratio", (F.col("discount") > 0).alias("promo")
-    )
-
-
 def units(s):
-    return prep.weekly_units(s.transaction_items)
+    return prep.weekly_units(s.dated_items)
 
 
 def inventory(s):
@@ -36,12 +30,12 @@ PLANS = {
     "prep_division_weight": lambda s: prep.division_weights(s.daily_sales, s.products),
     "prep_proportional_allocation": lambda s: prep.allocate(s.daily_sales, s.products),
     "prep_customer_type": lambda s: prep.customer_type(marketing_segments(s)),
-    "prep_line_price": lambda s: prep.line_price(promo_lines(s)),
+    "prep_line_price": lambda s: prep.line_price(s.promo_lines),
     "prep_basket_rollup": lambda s: prep.basket_rollup(s.transaction_items),
     "prep_items_with_date": lambda s: prep.items_with_date(s.transaction_items, s.transactions),
     "prep_week_floor": lambda s: prep.week_floor(s.daily_sales),
     "prep_weekly_units": units,
     "prep_week_spine": lambda s: prep.week_spine(durable(units(s)), s.products),
     "prep_stock_ledger": inventory,
-    "prep_hour_profile": lambda s: prep.hour_profile(s.raw("events")),
+    "prep_hour_profile": lambda s: prep.hour_profile(s.visits),
 }

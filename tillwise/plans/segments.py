@@ -1,13 +1,9 @@
 """Customer segmentation queries over a store."""
 
 from tillwise.operators import segments as seg
-from tillwise.plans.settings import SEED
-
-CUSTOMER_TYPES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
 
 def base(s):
-    return seg.rfm_base(s.transactions, s.customers, s.daily_sales)
+    return seg.rfm_base(s.baskets, s.customers, s.daily_sales)
 
 
 def scaled(s):
@@ -15,15 +11,15 @@ def scaled(s):
 
 
 def labelled(s):
-    return seg.cluster_labels(base(s), scaled(s), seg.MEASURES, "customer_id", k=4, seed=SEED)
+    return seg.cluster_labels(base(s), scaled(s), seg.MEASURES, "customer_id", k=4, seed=s.settings.seed)
 
 
 def crosstab(s):
-    return seg.crosstab_share(labelled(s), "cluster", "customer_type", CUSTOMER_TYPES)
+    return seg.crosstab_share(labelled(s), "cluster", "customer_type", s.settings.customer_types)
 
 
 def segment_crosstab(s):
-    return seg.crosstab_share(seg.rfm_scored(base(s)), "rfm_segment", "customer_type", CUSTOMER_TYPES)
+    return seg.crosstab_share(seg.rfm_scored(base(s)), "rfm_segment", "customer_type", s.settings.customer_types)
 
 
 PLANS = {
@@ -36,9 +32,9 @@ PLANS = {
     "nb_rfm_base": base,
     "nb_describe": lambda s: seg.describe(base(s), seg.MEASURES, "customer_id"),
     "rfm_standardise": scaled,
-    "kmeans_sweep": lambda s: seg.cluster_sweep(scaled(s), seg.MEASURES, seed=SEED),
+    "kmeans_sweep": lambda s: seg.cluster_sweep(scaled(s), seg.MEASURES, seed=s.settings.seed),
     "kmeans_segments": lambda s: seg.cluster_means(labelled(s), seg.MEASURES),
-    "sample_rows": lambda s: seg.sample_rows(s.transactions.drop("timestamp"), "transaction_id", 5000, SEED),
+    "sample_rows": lambda s: seg.sample_rows(s.transactions.drop("timestamp"), "transaction_id", 5000, s.settings.seed),
     "nb_cold_snap_segments": lambda s: seg.temp_crosstab(s.transactions, s.daily_sales, "Cold snap", "Normal"),
     "nb_event_segments": lambda s: seg.event_crosstab(s.transactions, s.daily_sales, events_only=False),
     "cluster_crosstab": crosstab,

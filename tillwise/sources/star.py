@@ -80,6 +80,21 @@ class StarStore(Store):
             F.round(F.col("net") * F.col("gp_ratio"), 2).cast(MONEY).alias("gross_profit_amt"),
         )
 
+    @cached_property
+    def dated_items(self) -> DataFrame:
+        """Lines carry their own date, so no join is needed."""
+        return self.transaction_items
+
+    @cached_property
+    def promo_lines(self) -> DataFrame:
+        return self.lines.select(
+            "transaction_id", "sku_id", "quantity", "unit_price", "gp_ratio", (F.col("discount") > 0).alias("promo")
+        )
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        return self.raw("events").select("ts")
+
     @cached_property
     def division_daily(self) -> DataFrame:
         sums = self.lines.groupBy("date", "division_code", "division_name", "department").agg(
@@ -140,6 +155,15 @@ class StarStore(Store):
             ((F.col("event_flag") == cal.NO_EVENT) & (F.dayofmonth("date") % 8 == 0)).alias("promo_flag"),
         )
 
+    @cached_property
+    def baskets(self) -> DataFrame:
+        return self.raw("orders").select(
+            F.col("o_orderkey").alias("transaction_id"),
+            F.col("o_orderdate").cast("date").alias("date"),
+            F.col("o_custkey").alias("customer_id"),
+            money("o_totalprice").alias("total_amount"),
+        )
+
     @cached_property
     def transactions(self) -> DataFrame:
         """Baskets: orders with their line totals.

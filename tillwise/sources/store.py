@@ -5,8 +5,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwise.settings import Settings
 from tillwise.sources.scratch import durable
-from tillwise.sources.tables import read_csv_table, read_parquet_table
+from tillwise.sources.schemas import conform
+from tillwise.sources.tables import read_csv_table, read_parquet_table, write_parquet
 
 
 class Store:
@@ -18,6 +20,31 @@ class Store:
     """
 
     spark: SparkSession
+    settings: Settings = Settings()
+
+    @cached_property
+    def baskets(self) -> DataFrame:
+        """When, who and how much of every basket; a source may give these without any join."""
+        return self.transactions.select("transaction_id", "date", "customer_id", "total_amount")
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        """Time stamps of store traffic."""
+        return self.transactions.select(F.col("timestamp").alias("ts"))
+
+    @cached_property
+    def promo_lines(self) -> DataFrame:
+        """Basket lines at list price with their promotion flag and margin ratio."""
+        items = self.transaction_items.select(
+            "transaction_id", "sku_id", "quantity", "unit_price",
+            (F.col("unit_price") != F.col("discounted_price")).alias("promo"),
+        )
+        return items.join(self.products.select("sku_id", "gp_ratio"), "sku_id")
+
+    @cached_property
+    def dated_items(self) -> DataFrame:
+        """Basket lines with the day they count for."""
+        return self.transaction_items.join(self.transactions.select("transaction_id", "date"), "transaction_id", "left")
 
     @cached_property
     def division_days(self) -> DataFrame:
@@ -59,8 +86,8 @@ class Store:
 class FileStore(Store):
     """Retail tables kept as files, one CSV or Parquet dataset per table."""
 
-    def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet"):
-        self.spark, self.path, self.fmt = spark, path, fmt
+    def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet", settings: Settings = Settings()):
+        self.spark, self.path, self.fmt, self.settings = spark, path, fmt, settings
 
     def __getattr__(self, table: str) -> DataFrame:
         if table.startswith("_") or table not in TABLE_NAMES:
@@ -73,3 +100,16 @@ TABLE_NAMES = (
     "products", "customers", "daily_sales", "division_daily",
     "transactions", "transaction_items", "inventory", "forecast_log",
 )
+
+
+def save_store(store: Store, path: str) -> None:
+    """Write a store's tables as Parquet once, so that later queries start from the roll-ups.
+
+    Baskets are laid out by month, which lets date ranges skip files.
+    """
+    for table in TABLE_NAMES[:6]:
+        frame = conform(getattr(store, table), table)
+        if table == "transactions":
+            write_parquet(frame.withColumn("month", F.date_format("date", "yyyy-MM")), f"{path}/{table}", ["month"])
+        else:
+            write_parquet(frame, f"{path}/{table}")
