@@ -1,6 +1,7 @@
 """Check statements of the source, sink and contract queries."""
 
 from oracle.dashboard import DAILY
+from oracle.forecast import BIAS
 from oracle.prep import UNITS
 from oracle.sales import SQL as SALES
 from oracle.tables import statement as q
@@ -52,6 +53,12 @@ SELECT 'daily_sales' AS table_name, count(*) AS num_rows FROM daily_sales
 UNION ALL SELECT 'forecast_log', 0"""),
     "sink_csv": SALES["eda_monthly_sales"],
     "sink_table_replace": SALES["nb_division_annual"],
+    "model_save_load": q("daily_sales dense_days", BIAS + """
+, lookup AS (SELECT day_of_week, event_flag FROM log GROUP BY 1, 2 HAVING count(se) > 0)
+SELECT 'driver_model' AS artefact, count(*) AS num_rows, 0::BIGINT AS num_different
+FROM joined WHERE date > (SELECT max(date) FROM joined) - 56
+UNION ALL SELECT 'accuracy_lookup', count(*), 0 FROM lookup
+UNION ALL SELECT 'bias_flags', count(*), 0 FROM flags"""),
     "schema_contract": q(ALL, UNITS + "\n" + "\nUNION ALL ".join(CHECKS)),
     "audit_row_counts": q(ALL, UNITS + "\n" + "\nUNION ALL ".join(
         f"SELECT '{shown(t)}' AS table_name, count(*) AS num_rows FROM {t}" for t in SUMMED)),

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from tillwise.operators import contract, sales
 from tillwise.operators import forecast as fc
-from tillwise.plans.forecast import matrices
+from tillwise.operators import monitor as mon
+from tillwise.plans.forecast import log, matrices
 from tillwise.plans.prep import inventory
 from tillwise.plans.present import present
 from tillwise.sources import tables as io
 from tillwise.sources.schemas import conform
-from tillwise.sources.scratch import scratch_path
+from tillwise.sources.scratch import durable, scratch_path
 
 # The column of each table whose sum is shown next to its row count.
 SUMMED = {
@@ -86,12 +87,37 @@ def table_sink(s):
     return s.spark.table(name)
 
 
-def saved_model(s):
-    """Fit, save, load and apply the linear driver model."""
+def artefacts(s):
+    """Save and reload the driver model and the lookups, and count what came back different."""
     train, test = matrices(s)
-    path = scratch_path(s.spark, "model")
-    fc.fit_linear(train).write().overwrite().save(path)
-    return fc.predict(LinearRegressionModel.load(path), test).select("date", "division_code", "sales_amt", "yhat")
+    folder = scratch_path(s.spark, "artefacts")
+    model = fc.fit_linear(train)
+    model.write().overwrite().save(f"{folder}/driver_model")
+    again = LinearRegressionModel.load(f"{folder}/driver_model")
+    key = ["date", "division_code"]
+    before = fc.predict(model, test).select(*key, "yhat")
+    after = fc.predict(again, test).select(*key, F.col("yhat").alias("reloaded"))
+    differs = F.count_if(~F.col("yhat").eqNullSafe(F.col("reloaded")))
+    parts = [before.join(after, key, "full").agg(F.count("*").alias("num_rows"), differs.alias("num_different"))]
+    names = ["driver_model"]
+    for name, frame in lookups(s).items():
+        io.write_parquet(frame, f"{folder}/{name}")
+        stored = io.read_parquet_table(s.spark, folder, name)
+        lost = frame.exceptAll(stored).agg(F.count("*")).scalar()
+        parts.append(stored.agg(F.count("*").alias("num_rows")).withColumn("num_different", lost))
+        names.append(name)
+    return reduce(
+        DataFrame.unionByName,
+        [p.select(F.lit(n).alias("artefact"), "num_rows", "num_different") for n, p in zip(names, parts)],
+    )
+
+
+def lookups(s):
+    entries = durable(log(s))
+    return {
+        "accuracy_lookup": durable(mon.lookup_from_log(entries)),
+        "bias_flags": durable(mon.bias_flags(entries, s.division_days)),
+    }
 
 
 PLANS = {
@@ -104,5 +130,5 @@ PLANS = {
     "sink_table_replace": table_sink,
     "schema_contract": lambda s: contract.check_contract(seven_tables(s)),
     "audit_row_counts": lambda s: contract.row_counts(seven_tables(s)),
-    "model_save_load": saved_model,
+    "model_save_load": artefacts,
 }
