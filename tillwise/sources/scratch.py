@@ -24,11 +24,16 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Compute once and keep in reliable storage, so that losing executors costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Compute once, write to the shared folder and go on from the written table.
+
+    Lost executors cost no recomputation, later steps read only the columns they need, and
+    the planner knows the real size, so it broadcasts by a checked size.
+    """
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

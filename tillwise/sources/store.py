@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tillwise.settings import Settings
 from tillwise.sources.scratch import durable
-from tillwise.sources.schemas import conform
 from tillwise.sources.tables import read_csv_table, read_parquet_table, write_parquet
 
 
@@ -43,7 +42,9 @@ class Store:
 
     @cached_property
     def dated_items(self) -> DataFrame:
-        """Basket lines with the day they count for."""
+        """Basket lines with the day they count for; no join where the lines carry one."""
+        if "date" in self.transaction_items.columns:
+            return self.transaction_items
         return self.transaction_items.join(self.transactions.select("transaction_id", "date"), "transaction_id", "left")
 
     @cached_property
@@ -108,7 +109,7 @@ def save_store(store: Store, path: str) -> None:
     Baskets are laid out by month, which lets date ranges skip files.
     """
     for table in TABLE_NAMES[:6]:
-        frame = conform(getattr(store, table), table)
+        frame = getattr(store, table)
         if table == "transactions":
             write_parquet(frame.withColumn("month", F.date_format("date", "yyyy-MM")), f"{path}/{table}", ["month"])
         else:
