@@ -187,7 +187,8 @@ def test_stock_ledger_matches_a_loop(spark):
     units = spark.createDataFrame(
         [(w, sku, u) for sku, us in sold.items() for w, u in zip(weeks, us) if u], "week_start date, sku_id bigint, units_sold bigint")
     products = spark.createDataFrame([(1, "Entry"), (2, "Premium"), (3, "Core")], "sku_id bigint, price_tier string")
-    got = stock.stock_ledger(units, products).orderBy("sku_id", "week_start_date").collect()
+    dates = spark.createDataFrame([(weeks[0] + timedelta(3),), (weeks[-1],)], "date date")
+    got = stock.stock_ledger(units, products, dates).orderBy("sku_id", "week_start_date").collect()
     want = [row for sku, tier in ((1, "Entry"), (2, "Premium"), (3, "Core")) for row in loop_ledger(sold[sku], stock.VELOCITY[tier])]
     assert [(r.opening_stock, r.units_sold, r.units_received, r.closing_stock, r.oos_flag) for r in got] == want
     assert [r.week_start_date for r in got[:12]] == weeks

@@ -37,25 +37,32 @@ def weekday_mean_forecast(train: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.join(weekday_mean_model(train), ["division_code", "day_of_week"])
 
 
-def residual_bounds(train_scored: DataFrame, scored: DataFrame) -> DataFrame:
-    """Adds bounds: forecast plus the 15% and 85% quantile of the division's training errors.
+def error_bounds(train_scored: DataFrame) -> DataFrame:
+    """The 15% and 85% quantile of the training errors per division.
 
     A division has one training error per day, so its exact quantile fits a task.
     """
-    spread = (
+    return (
         train_scored.withColumn("_error", F.col("sales_amt") - F.col("predicted"))
         .groupBy("division_code")
-        .agg(quantile("_error", LOWER_QUANTILE).alias("_low"), quantile("_error", UPPER_QUANTILE).alias("_high"))
+        .agg(
+            quantile("_error", LOWER_QUANTILE).alias("low_error"),
+            quantile("_error", UPPER_QUANTILE).alias("high_error"),
+        )
     )
+
+
+def residual_bounds(train_scored: DataFrame, scored: DataFrame) -> DataFrame:
+    """Adds bounds: the forecast plus the quantiles of the division's training errors."""
     return (
-        scored.join(spread, "division_code")
+        scored.join(error_bounds(train_scored), "division_code")
         .withColumns(
             {
-                "lower": fixed(dbl("predicted") + F.col("_low"), 2),
-                "upper": fixed(dbl("predicted") + F.col("_high"), 2),
+                "lower": fixed(dbl("predicted") + F.col("low_error"), 2),
+                "upper": fixed(dbl("predicted") + F.col("high_error"), 2),
             }
         )
-        .drop("_low", "_high")
+        .drop("low_error", "high_error")
     )
 
 

@@ -172,12 +172,19 @@ def weekly_units(dated_items: DataFrame) -> DataFrame:
     )
 
 
-def week_spine(units: DataFrame, products: DataFrame) -> DataFrame:
+def week_range(dates: DataFrame) -> Column:
+    """All Mondays from the first to the last date, as one array.
+
+    Takes the date column alone: one narrow pass, however many lines there are.
+    """
+    span = dates.agg(F.struct(cal.week_floor(F.min("date")).alias("first"), cal.week_floor(F.max("date")).alias("last")))
+    ends = span.scalar()
+    return F.sequence(ends["first"], ends["last"], F.expr("INTERVAL 7 DAYS"))
+
+
+def week_spine(units: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
     """Every week for every SKU, zero where nothing sold."""
-    first, last = units.agg(F.min("week_start")).scalar(), units.agg(F.max("week_start")).scalar()
-    spine = products.select(
-        "sku_id", F.explode(F.sequence(first, last, F.expr("INTERVAL 7 DAYS"))).alias("week_start")
-    )
+    spine = products.select("sku_id", F.explode(week_range(dates)).alias("week_start"))
     return spine.join(units, ["sku_id", "week_start"], "left").select(
         "week_start", "sku_id", big(F.coalesce("units_sold", F.lit(0))).alias("units_sold")
     )

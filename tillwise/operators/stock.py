@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.numeric import dbl, rnd
+from tillwise.operators.prep import week_range
 
 # Weekly velocity by price tier, opening cover and top-up in weeks.
 VELOCITY = {"Entry": 27, "Core": 16, "Mid": 7, "Premium": 3}
@@ -17,15 +18,13 @@ REORDER_BELOW_WEEKS = 4
 _SKUS_PER_BATCH = 1000
 
 
-def stock_ledger(units: DataFrame, products: DataFrame) -> DataFrame:
+def stock_ledger(units: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
     """Running stock per SKU and week with replenishment below four weeks of cover.
 
     Each week depends on the one before, so a SKU's weeks are folded in order. They come
     as one array per SKU, whose length is the number of weeks; the fold steps through the
     weeks for a whole batch of SKUs at once.
     """
-    span = units.agg(F.min("week_start").alias("first"), F.max("week_start").alias("last"))
-    first, last = (span.select(c).scalar() for c in ("first", "last"))
     sold = units.groupBy("sku_id").agg(
         F.map_from_entries(F.collect_list(F.struct("week_start", "units_sold"))).alias("sold")
     )
@@ -35,7 +34,7 @@ def stock_ledger(units: DataFrame, products: DataFrame) -> DataFrame:
     per_sku = (
         products.select("sku_id", velocity.alias("velocity"))
         .join(sold, "sku_id", "left")
-        .withColumn("weeks", F.sequence(first, last, F.expr("INTERVAL 7 DAYS")))
+        .withColumn("weeks", week_range(dates))
         .select(
             "sku_id", "velocity", F.element_at("weeks", 1).alias("first_week"),
             F.transform("weeks", lambda w: F.coalesce(F.col("sold")[w], F.lit(0))).alias("units"),

@@ -25,11 +25,7 @@ def scenario_forecast(s):
     """Boosted-tree answers to the scenario grid, with bounds from the training errors."""
     train, _ = matrices(s)
     model = fc.fit_boosted(train, seed=s.settings.seed)
-    off = dbl("sales_amt") - F.col("yhat")
-    spread = fc.predict(model, train).groupBy("division_code").agg(
-        F.percentile(off, fc.LOWER_QUANTILE).alias("low_error"),
-        F.percentile(off, fc.UPPER_QUANTILE).alias("high_error"),
-    )
+    spread = fc.error_bounds(fc.predict(model, train).withColumnRenamed("yhat", "predicted"))
     rows = scenarios(s)
     filled = rows.withColumns({f"x_{c}": F.coalesce(dbl(c), F.lit(0.0)) for c in feat.FEATURE_COLS})
     return dash.scenario_forecast(fc.predict(model, filled), spread, fc.FALLBACK_BAND)

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from tillwise.operators import prep, stock
-from tillwise.sources.scratch import durable
 from tillwise.sources.star import pick
 
 
@@ -18,7 +17,7 @@ def units(s):
 
 
 def inventory(s):
-    return stock.stock_ledger(durable(units(s)), s.products)
+    return stock.stock_ledger(units(s), s.products, s.item_dates)
 
 
 PLANS = {
@@ -32,10 +31,10 @@ PLANS = {
     "prep_customer_type": lambda s: prep.customer_type(marketing_segments(s)),
     "prep_line_price": lambda s: prep.line_price(s.promo_lines),
     "prep_basket_rollup": lambda s: prep.basket_rollup(s.transaction_items),
-    "prep_items_with_date": lambda s: prep.items_with_date(s.transaction_items, s.transactions),
+    "prep_items_with_date": lambda s: prep.items_with_date(s.transaction_items, s.baskets),
     "prep_week_floor": lambda s: prep.week_floor(s.daily_sales),
     "prep_weekly_units": units,
-    "prep_week_spine": lambda s: prep.week_spine(durable(units(s)), s.products),
+    "prep_week_spine": lambda s: prep.week_spine(units(s), s.products, s.item_dates),
     "prep_stock_ledger": inventory,
     "prep_hour_profile": lambda s: prep.hour_profile(s.visits),
 }

@@ -119,6 +119,10 @@ class StarStore(Store):
         """Lines carry their own date, so no join is needed."""
         return self.transaction_items
 
+    @cached_property
+    def item_dates(self) -> DataFrame:
+        return self.raw("lineitem").select(F.col("l_shipdate").cast("date").alias("date"))
+
     @cached_property
     def promo_lines(self) -> DataFrame:
         return self.lines.select(

@@ -47,6 +47,11 @@ class Store:
             return self.transaction_items
         return self.transaction_items.join(self.transactions.select("transaction_id", "date"), "transaction_id", "left")
 
+    @cached_property
+    def item_dates(self) -> DataFrame:
+        """The dates of the basket lines and nothing else."""
+        return self.dated_items.select("date")
+
     @cached_property
     def division_days(self) -> DataFrame:
         return durable(

@@ -1,8 +1,8 @@
 """Readers and writers for the retail tables."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tillwise.sources.schemas import SCHEMAS
 
@@ -26,14 +26,22 @@ def read_parquet_table(spark: SparkSession, directory: str, table: str) -> DataF
     return spark.read.parquet(f"{directory}/{table}")
 
 
-def read_optional(spark: SparkSession, directory: str, table: str) -> DataFrame:
-    """A table that may not have been written yet: empty with the right columns if missing."""
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system of the path has anything there."""
     try:
-        return read_parquet_table(spark, directory, table)
+        spark.read.text(path)
+        return True
     except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], SCHEMAS[table])
+        return False
+
+
+def read_optional(spark: SparkSession, directory: str, table: str) -> DataFrame:
+    """A table that may not have been written yet: empty with the right columns if missing."""
+    if exists(spark, f"{directory}/{table}"):
+        return read_parquet_table(spark, directory, table)
+    return spark.createDataFrame([], SCHEMAS[table])
 
 
 def read_optional_table(spark: SparkSession, name: str, schema) -> DataFrame:
