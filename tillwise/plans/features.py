@@ -7,8 +7,11 @@ ROW = ["date", "division_code"]
 
 
 def joined(s):
-    """Dense division days with their context; lags count rows, so no day may be missing."""
-    return feat.base_join(s.dense_days, s.sales_days)
+    """Dense division days with their context; lags count rows, so no day may be missing.
+
+    Training, test and history parts of a query all start from this one small table.
+    """
+    return s.keep("model_days", lambda: feat.base_join(s.dense_days, s.sales_days))
 
 
 def built(s):

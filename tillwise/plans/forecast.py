@@ -10,7 +10,8 @@ from tillwise.sources.scratch import durable
 
 
 def log(s):
-    return mon.walk_forward_log(joined(s))
+    """The forecast log: written once, read by every monitoring query."""
+    return s.keep("forecast_log", lambda: mon.walk_forward_log(joined(s)))
 
 
 def plain(s):

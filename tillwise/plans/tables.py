@@ -113,7 +113,7 @@ def artefacts(s):
 
 
 def lookups(s):
-    entries = durable(log(s))
+    entries = log(s)
     return {
         "accuracy_lookup": durable(mon.lookup_from_log(entries)),
         "bias_flags": durable(mon.bias_flags(entries, s.division_days)),

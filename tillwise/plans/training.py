@@ -8,7 +8,6 @@ from tillwise.operators import forecast as fc
 from tillwise.operators import monitor as mon
 from tillwise.plans.features import joined
 from tillwise.plans.forecast import log, matrices
-from tillwise.sources.scratch import durable
 from tillwise.sources.store import Store
 from tillwise.sources.tables import exists, write_parquet
 
@@ -25,7 +24,7 @@ def train_all(store: Store, path: str, trees: int = 20) -> None:
 
     on_train = fc.predict(point, train).withColumn("predicted", F.col("yhat").cast("decimal(18,2)"))
     on_test = fc.predict(point, test).withColumn("predicted", F.col("yhat").cast("decimal(18,2)"))
-    entries = durable(log(store))
+    entries = log(store)
     tables = {
         "error_bounds": fc.error_bounds(on_train),
         "test_metrics": mon.errors(on_test, "sales_amt", "predicted"),

@@ -1,5 +1,6 @@
 """The retail tables an operator can ask for."""
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,16 @@ class Store:
     spark: SparkSession
     settings: Settings = Settings()
 
+    @cached_property
+    def _kept(self) -> dict[str, DataFrame]:
+        return {}
+
+    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table that is written once and then shared by all queries on this store."""
+        if name not in self._kept:
+            self._kept[name] = durable(build())
+        return self._kept[name]
+
     @cached_property
     def baskets(self) -> DataFrame:
         """When, who and how much of every basket; a source may give these without any join."""
