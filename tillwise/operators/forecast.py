@@ -9,7 +9,6 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions import calendar as cal
 from tillwise.functions.numeric import dbl, fixed, mean, quantile, rnd
 from tillwise.operators.features import FEATURE_COLS, assemble, event_columns
 from tillwise.operators.monitor import errors

@@ -5,11 +5,11 @@ from functools import reduce
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.calendar import COLD_SNAP_BELOW, NO_EVENT
-from tillwise.functions.numeric import MONEY, big, dbl, mean, pct, rnd, total
+from tillwise.functions.numeric import MONEY, dbl, mean, pct, rnd, total
 from tillwise.operators.order_stats import ntile_score, quartiles
 from tillwise.sources.scratch import durable
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tillwise.operators import features as feat
 from tillwise.operators import forecast as fc
 from tillwise.operators import monitor as mon
-from tillwise.plans.features import joined
 from tillwise.plans.forecast import log, matrices
 from tillwise.sources.store import Store
 from tillwise.sources.tables import exists, write_parquet

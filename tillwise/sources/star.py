@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions import calendar as cal
-from tillwise.functions.numeric import MONEY, big, dbl, fixed, money, ratio, rnd
+from tillwise.functions.numeric import MONEY, big, dbl, fixed, money, ratio
 from tillwise.sources.store import Store
 
 # Decimal steps of the stand-in margin and basket-size curves.
