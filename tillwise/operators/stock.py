@@ -25,15 +25,21 @@ def stock_ledger(units: DataFrame, products: DataFrame, dates: DataFrame) -> Dat
     as one array per SKU, whose length is the number of weeks; the fold steps through the
     weeks for a whole batch of SKUs at once.
     """
-    sold = units.groupBy("sku_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("week_start", "units_sold"))).alias("sold")
-    )
     velocity = F.lit(10)
     for tier, weekly in VELOCITY.items():
         velocity = F.when(F.col("price_tier") == tier, weekly).otherwise(velocity)
+    entry = F.struct("week_start", F.col("units_sold").cast("bigint").alias("units_sold"))
+    known = products.select("sku_id", velocity.alias("velocity"), F.lit(None).alias("entry"))
+    sold = units.select("sku_id", F.lit(None).cast("int").alias("velocity"), entry.alias("entry"))
+    # A SKU and its weeks meet in one shuffle. The partition number is given because the
+    # ledger is far larger than the input by which adaptive execution would merge partitions.
+    parts = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_sku = (
-        products.select("sku_id", velocity.alias("velocity"))
-        .join(sold, "sku_id", "left")
+        known.unionByName(sold)
+        .repartition(parts, "sku_id")
+        .groupBy("sku_id")
+        .agg(F.max("velocity").alias("velocity"), F.map_from_entries(F.collect_list("entry")).alias("sold"))
+        .where(F.col("velocity").isNotNull())
         .withColumn("weeks", week_range(dates))
         .select(
             "sku_id", "velocity", F.element_at("weeks", 1).alias("first_week"),
