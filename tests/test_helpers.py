@@ -137,3 +137,13 @@ def test_bounds_are_ordered_and_near_target_on_training_days(store):
     bounded = fc.residual_bounds(fitted, fitted)
     assert bounded.where(F.col("lower") > F.col("upper")).count() == 0
     assert fc.coverage(bounded).first().coverage >= 0.69
+
+
+def test_boosted_walk_forward_covers_every_later_day_once(store):
+    rows = joined(store).where(F.col("date") < "1996-06-01")
+    matrix = durable(feat.feature_matrix(feat.build_features(rows)))
+    log = fc.walk_forward_boosted(matrix, warm_up_weeks=26, every_weeks=20, trees=2, seed=1)
+    start = matrix.agg(F.min("date")).first()[0] + timedelta(weeks=26)
+    assert log.count() == matrix.where(F.col("date") >= F.lit(start)).count()
+    assert log.select("date", "division_code").distinct().count() == log.count()
+    assert log.where(F.col("predicted_sales").isNull()).count() == 0

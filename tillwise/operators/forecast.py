@@ -1,6 +1,7 @@
 """Point forecasts, bounds and driver attribution."""
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 import numpy as np
@@ -252,3 +253,23 @@ def walk_forward_least_squares(matrix: DataFrame, columns=FEATURE_COLS) -> DataF
         "date date, division_code int, day_of_week string, event_flag string, sales_amt decimal(18,2), yhat double",
     ).where(F.col("yhat").isNotNull() & ~F.isnan("yhat"))
     return fitted.withColumn("predicted_sales", fixed("yhat", 2)).drop("yhat")
+
+
+# --- walk-forward boosted trees ------------------------------------------------
+
+
+def walk_forward_boosted(matrix: DataFrame, warm_up_weeks: int, every_weeks: int, trees: int, seed: int) -> DataFrame:
+    """Refit the boosted trees every few weeks and forecast the days up to the next refit.
+
+    Each fit is a distributed job over the days before its date; only the refit dates are
+    walked on the driver.
+    """
+    first, last = matrix.agg(F.min("date"), F.max("date")).first()
+    cut, parts = first + timedelta(weeks=warm_up_weeks), []
+    while cut <= last:
+        until = cut + timedelta(weeks=every_weeks)
+        model = fit_boosted(matrix.where(F.col("date") < F.lit(cut)), trees=trees, depth=5, seed=seed)
+        ahead = matrix.where((F.col("date") >= F.lit(cut)) & (F.col("date") < F.lit(until)))
+        parts.append(predict(model, ahead))
+        cut = until
+    return reduce(DataFrame.unionByName, parts).withColumn("predicted_sales", fixed("yhat", 2))

@@ -51,6 +51,14 @@ def least_squares_log(s):
     return mon.as_log(mon.with_band(fitted), mon.eligible_dates(rows))
 
 
+def boosted_log(s):
+    """The log of boosted trees refitted once a year of history."""
+    rows = joined(s)
+    matrix = durable(feat.feature_matrix(feat.build_features(rows)))
+    fitted = fc.walk_forward_boosted(matrix, mon.WARM_UP_WEEKS, every_weeks=52, trees=10, seed=s.settings.seed)
+    return mon.as_log(mon.with_band(fitted), mon.eligible_dates(rows))
+
+
 def day_contexts(s):
     return s.sales_days.select("date", "day_of_week", "event_flag")
 
@@ -76,6 +84,7 @@ PLANS = {
     "fc_reliability_flag": lambda s: mon.reliability(day_contexts(s), mon.lookup_from_log(log(s))),
     "fc_walk_forward_log": log,
     "fc_walk_forward_regression": least_squares_log,
+    "fc_walk_forward_boosted": boosted_log,
     "fc_signed_error": lambda s: log(s).select(
         "target_date", "division_code", "actual_sales", "predicted_sales", mon.signed_error().alias("signed_error_pct")
     ),
