@@ -3,25 +3,46 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwise.llm import bpe, exact_dedup
-from tillwise.llm.common import durable, table
+from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, toxicity
+from tillwise.llm.common import durable, table, without_ids
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity machine rejects go (operator 6)."""
+    model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model)
+    return without_ids(docs, durable(scored.where(F.col("score") >= toxicity.THRESHOLD).select("doc_id")))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays (operator 4)."""
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (operator 8)."""
+    return jaccard_join.one_of_each(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items go (operator 3)."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of what is left, and the text decoded from them (operator 2)."""
     return bpe.encode_decode(docs, bpe.word_vocabulary())
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("exact dedup", drop_exact_copies),
+    ("n-gram jaccard join", drop_near_copies),
+    ("decontamination", drop_benchmark),
     ("bpe", encode),
 ]
 

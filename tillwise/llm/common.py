@@ -56,3 +56,9 @@ class Memo(dict):
             self.clear()
         self[key] = value = self.compute(key)
         return value
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, whose doc_id is not among ids; null is an id like any other."""
+    out = ids.select(ids["doc_id"].alias("_out_id")).distinct()
+    return docs.join(out, docs["doc_id"].eqNullSafe(out["_out_id"]), "left_anti")

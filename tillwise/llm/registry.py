@@ -4,12 +4,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import bpe, exact_dedup, licenses, token_files
+from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, licenses, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_encode_decode": bpe.op2_bpe_encode_decode,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_license_scan": licenses.op5_license_scan,
+    "op6_toxicity": toxicity.op6_toxicity,
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op10_token_files": token_files.op10_token_files,
 }
 
