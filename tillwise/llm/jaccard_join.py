@@ -1,15 +1,17 @@
 """N-gram Jaccard self-join by parity sketches, and the components of its links.
 
-A document's set holds the fingerprints of its distinct shingles. In a sketch every shingle flips one bit, so
-shingles that two sets share cancel out and the Hamming distance of two sketches is at most the size of their
-symmetric difference. Sets of similarity 0.9 and sizes up to s differ in at most 2s/19 shingles, so of
-2s/19 + 1 parts of a sketch at least one is equal: sketches are joined on the parts of their size band.
-A band also takes in the larger sets of the band below, as far as they can be partners.
+A document's set holds the fingerprints of its distinct shingles. A sketch has parts, and each shingle is XORed
+into one of them, so shingles that two sets share cancel out and the number of parts that differ (the Hamming
+distance) is at most the size of their symmetric difference. Sets of similarity 0.9 and sizes up to s differ in at most
+2s/19 shingles, so of 2s/19 + 1 parts at least one is equal: sketches are joined on the parts of their size
+band. A band also takes in the smaller sets of the bands below, as far as they can be partners. A second sketch
+of SKETCH_BITS parity bits, whose Hamming distance has the same bound, rejects most candidates that
+are equal in a part by chance, before any set is fetched.
 
 Equal sets become one class first. In a part with few classes all pairs are candidates; in a crowded one, all are compared
 with one centre, and the rest only across components, where the distances to the centre leave a link
-possible (Jaccard distance is a metric). All candidates are verified on the whole sets, so links between
-classes are exact but for 64-bit fingerprints; pairs that components make superfluous are never made.
+possible (Jaccard distance is a metric). Candidates that pass the sketch are verified on the whole sets, so links
+between classes are exact but for 64-bit fingerprints; pairs that components make superfluous are never made.
 
 Null and empty texts have no shingles and link with nothing; one or two words are one shingle. Repeated rows and
 ids are rows of their own. A null doc_id names a component only if it has no other id. Other columns are
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,14 +32,16 @@ from tillwise.llm.hashing import mix, word_hashes
 SHINGLE = 3
 NUMERATOR, DENOMINATOR = 9, 10  # the least similarity
 CROWDED = 12
+SKETCH_BITS = 1024
+BROADCAST_ROWS = 500_000  # of five numbers each
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
 def band_starts(most: int = 1 << 40) -> list[int]:
-    """Smallest set size of each band: every size at first, then a quarter more each."""
+    """Smallest set size of each band: every size at first, then a tenth more each."""
     out = [1]
     while out[-1] < most:
-        out.append(max(out[-1] + 1, out[-1] * 5 // 4))
+        out.append(max(out[-1] + 1, out[-1] * 11 // 10))
     return out
 
 
@@ -65,27 +70,31 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
 
 
 def part_keys(hashes: np.ndarray) -> np.ndarray:
-    """Keys of the parts of a set's sketches: in its own band, and in the next one if partners may be there."""
+    """Keys of the parts of a set's sketches: in its own band, and in the next ones where partners may be."""
     n = len(hashes)
     if not n:
         return np.empty(0, np.int64)
-    band = int(np.searchsorted(_BANDS, n, "right")) - 1
+    j = int(np.searchsorted(_BANDS, n, "right")) - 1
+    codes = mix(hashes ^ _P[1])
     out = []
-    for j in (band, band + 1):
-        if j > band and DENOMINATOR * n < NUMERATOR * int(_BANDS[j]):
-            continue
+    while DENOMINATOR * n >= NUMERATOR * int(_BANDS[j]):
         largest = int(_BANDS[j + 1]) - 1
         parts = 2 * largest * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR) + 1
-        if parts == 1:  # only equal sets link
-            continue
-        cell = (hashes % np.uint64(parts)).astype(np.int64) * 64 + (hashes >> np.uint64(58)).astype(np.int64)
-        odd = (np.bincount(cell, minlength=64 * parts) & 1).astype(np.uint8)
-        sketch = np.packbits(odd, bitorder="little").view(np.uint64)
-        place = np.arange(parts, dtype=np.uint64) + np.uint64(j << 40)
-        out.append(mix(mix(sketch + _P[0]) ^ place * _P[1]).view(np.int64))
+        if parts > 1:  # else only equal sets link
+            sketch = np.zeros(parts, np.uint64)
+            np.bitwise_xor.at(sketch, (hashes % np.uint64(parts)).view(np.int64), codes)
+            place = np.arange(parts, dtype=np.uint64) + np.uint64(j << 40)
+            out.append(mix(mix(sketch + _P[0]) ^ place * _P[1]).view(np.int64))
+        j += 1
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    """SKETCH_BITS parity bits of a set."""
+    odd = np.bincount((hashes >> np.uint64(40)).view(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
     flat = np.concatenate([a.view(np.int64) for a in arrays]) if arrays else np.empty(0, np.int64)
@@ -96,10 +105,9 @@ def _print(sets: list[np.ndarray], salt: np.uint64) -> pa.Array:
     return pa.array(np.array([mix(s ^ salt).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64))
 
 
-def signatures(docs: DataFrame, with_sets: bool) -> DataFrame:
-    """doc_id, n, print1, print2 (of the whole set), and keys or the set itself."""
+def signatures(docs: DataFrame) -> DataFrame:
+    """doc_id, n, print1, print2 (of the whole set), keys and sketch."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    last = "hashes" if with_sets else "keys"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=2 << 20):
@@ -110,31 +118,67 @@ def signatures(docs: DataFrame, with_sets: bool) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     _print(sets, _P[2]),
                     _print(sets, _P[3]),
-                    _lists(sets if with_sets else [part_keys(s) for s in sets]),
+                    _lists([part_keys(s) for s in sets]),
+                    _lists([parity_sketch(s) for s in sets]),
                 ],
-                ["doc_id", "n", "print1", "print2", last],
+                ["doc_id", *_SET, "keys", "sketch"],
             )
 
-    schema = f"doc_id {id_type}, n bigint, print1 bigint, print2 bigint, {last} array<bigint>"
+    schema = f"doc_id {id_type}, n bigint, print1 bigint, print2 bigint, keys array<bigint>, sketch array<bigint>"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 _SET = ["n", "print1", "print2"]
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, distance (Jaccard) and linked of each pair."""
+def fetched_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and hashes of each wanted class (own_id, node, n, print1, print2), from the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, most=2 << 20):
+            sets = shingle_sets(batch.column("text").to_pylist())
+            same = pc.and_(pc.equal(_print(sets, _P[2]), batch.column("print1")), pc.equal(_print(sets, _P[3]), batch.column("print2")))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(sets)], ["node", "hashes"]).filter(same)
+
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    texts = docs.select("doc_id", "text").join(few, F.col("doc_id").eqNullSafe(F.col("own_id")))
+    sets = durable(texts.select("node", "text", "print1", "print2").mapInArrow(run, "node bigint, hashes array<bigint>"))
+    # rows that repeat a doc_id and its text give their class more than once
+    return sets if sets.count() == wanted.count() else durable(sets.dropDuplicates(["node"]))
+
+
+def hamming(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda t, d: t + d)
+
+
+def may_link(x: Column, y: Column, sizes: Column) -> Column:
+    """Whether two sketches leave a link possible between sets of these sizes together."""
+    return (DENOMINATOR + NUMERATOR) * hamming(x, y) <= (DENOMINATOR - NUMERATOR) * sizes
+
+
+def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """a, b, low and high (bounds of the Jaccard distance) and linked of each pair."""
+    slim = lambda x: rows.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+    sizes = F.col("na") + F.col("nb")
+    near = durable(
+        pairs.join(slim("a"), "a").join(slim("b"), "b").withColumn("differ", hamming(F.col("sa"), F.col("sb"))).select(
+            "a", "b", (2 * F.col("differ") / (sizes + F.col("differ"))).alias("low"),
+            may_link(F.col("sa"), F.col("sb"), sizes).alias("open"),
+        )
+    )
+    to_check = near.where("open").select("a", "b")
+    nodes = durable(to_check.select(F.col("a").alias("node")).union(to_check.select("b")).distinct())
+    sets = fetched_sets(docs, durable(rows.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("own_id"), "node", *_SET)))
     both = (
-        pairs.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
+        to_check.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
         .join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
         .withColumn("shared", F.size(F.array_intersect("ha", "hb")))
     )
     union = F.size("ha") + F.size("hb") - F.col("shared")
-    return durable(
-        both.select(
-            "a", "b", (1 - F.col("shared") / union).alias("distance"), (DENOMINATOR * F.col("shared") >= NUMERATOR * union).alias("linked")
-        )
-    )
+    distance = 1 - F.col("shared") / union
+    exact = both.select("a", "b", distance.alias("low"), distance.alias("high"), (DENOMINATOR * F.col("shared") >= NUMERATOR * union).alias("linked"))
+    far = near.where("not open").select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("linked"))
+    return durable(exact.unionByName(far))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -160,49 +204,55 @@ def _pair(x: Column, y: Column) -> list[Column]:
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of docs."""
-    rows = durable(signatures(docs, with_sets=False).withColumn("node", F.monotonically_increasing_id()))
+    rows = durable(signatures(docs).withColumn("node", F.monotonically_increasing_id()))
     classes = durable(
         rows.where("n > 0").groupBy(*_SET).agg(F.min("node").alias("node"), F.min("doc_id").alias("class_id"))
     )
     keyed = rows.join(classes.select("node"), "node", "left_semi").select("node", F.explode("keys").alias("key"))
-    size = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre")).where("size > 1")
+    size = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     parts = durable(keyed.join(size, "key"))
-    names = rows.join(parts.select("node").distinct(), "node", "left_semi").select("doc_id", *_SET, "node").withColumnRenamed("doc_id", "own_id")
-    wanted = durable(names)
-    ids = wanted.select("own_id").distinct()
-    again = signatures(docs.join(ids, docs["doc_id"].eqNullSafe(ids["own_id"]), "left_semi"), with_sets=True)
-    sets = durable(again.join(wanted, _SET).groupBy("node").agg(F.first("hashes").alias("hashes")))
-
-    few, many = parts.where(F.col("size") <= CROWDED), parts.where(F.col("size") > CROWDED)
+    few, crowds = parts.where(F.col("size") <= CROWDED), parts.where(F.col("size") > CROWDED)
+    # the class that is in most crowds is the most typical one, and links with most of the others
+    typical = crowds.groupBy("node").agg(F.count(F.lit(1)).alias("crowds"))
+    centres = crowds.join(typical, "node").groupBy("key").agg(F.max(F.struct("crowds", -F.col("node")))["col2"].alias("centre"))
+    many = durable(crowds.join(centres.select("key", (-F.col("centre")).alias("centre")), "key"))
     within = few.alias("x").join(few.alias("y"), "key").where("x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    star = many.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
-    first = verified(within.unionByName(star).distinct(), sets)
+    star = many.where("node != centre").select(*_pair(F.col("centre"), F.col("node")))
+    first = verified(within.unionByName(star).distinct(), rows, docs)
     comps = components(first.where("linked"))
 
     # crowded parts: classes outside the centre's component against all that may still link with them
     comp_of = lambda frame, name, out: frame.join(
         comps.select(F.col("node").alias(name), F.col("comp").alias(out)), name, "left"
     ).withColumn(out, F.coalesce(out, name))
-    centred = first.select(F.col("a").alias("centre"), F.col("b").alias("node"), "distance")
-    known = many.join(centred, ["centre", "node"], "left").withColumn("distance", F.coalesce("distance", F.lit(0.0)))
-    placed = durable(comp_of(comp_of(known, "node", "comp"), "centre", "main").select("key", "node", "comp", "main", "distance"))
+    known = many.select("*", *_pair(F.col("centre"), F.col("node"))).join(first.drop("linked"), ["a", "b"], "left").na.fill(0.0, ["low", "high"])
+    placed = comp_of(comp_of(known, "node", "comp"), "centre", "main").select("key", "node", "comp", "main", "low", "high")
+    open_keys = durable(placed.where("comp != main").select("key").distinct())
+    placed = durable(placed.join(open_keys, "key", "left_semi").join(rows.select("node", "n", "sketch"), "node"))
     outside = placed.where("comp != main")
     reach = 1 - NUMERATOR / DENOMINATOR + 1e-9
-    second = (
+    second = durable(
         outside.alias("x")
         .join(placed.alias("y"), "key")
-        .where((F.col("x.comp") != F.col("y.comp")) & (F.abs(F.col("x.distance") - F.col("y.distance")) <= reach))
+        .where(
+            (F.col("x.comp") != F.col("y.comp"))
+            & (F.col("x.low") - F.col("y.high") <= reach)
+            & (F.col("y.low") - F.col("x.high") <= reach)
+            & may_link(F.col("x.sketch"), F.col("y.sketch"), F.col("x.n") + F.col("y.n"))
+        )
         .select(*_pair(F.col("x.node"), F.col("y.node")))
         .distinct()
         .join(first.select("a", "b"), ["a", "b"], "left_anti")
     )
-    links = first.where("linked").unionByName(verified(second, sets).where("linked"))
-    comps = components(links)
+    links = first.where("linked")
+    if not second.isEmpty():
+        links = links.unionByName(verified(second, rows, docs).where("linked"))
+        comps = components(links)
     named = classes.join(comps, "node")
     lowest = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))
     linked = named.join(lowest, "comp").select("node", "component_id")
     whole = classes.join(linked, "node", "left").select(*_SET, F.coalesce("component_id", "class_id").alias("component_id"))
-    return rows.drop("keys", "node").join(whole, _SET, "left").select(
+    return rows.select("doc_id", *_SET).join(whole, _SET, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
