@@ -51,7 +51,7 @@ class ByteBpe:
         self.code = "H" if self.dtype == "<u2" else "I"
         self.letters = byte_letters()
         self.stretches = Memo(self._stretch, 100_000)
-        self.spaced = Memo(self._spaced, 600_000)
+        self.spaced = Memo(self._spaced, 1_500_000)
 
     def _pack(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
