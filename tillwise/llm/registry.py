@@ -4,9 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, licenses, token_files, toxicity
+from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, katz, licenses, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_katz_backoff": katz.op1_katz_backoff,
     "op2_bpe_encode_decode": bpe.op2_bpe_encode_decode,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
