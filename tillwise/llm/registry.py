@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, katz, kneser_ney, licenses, token_files, toxicity
+from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, katz, kneser_ney, licenses, pii, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_backoff": katz.op1_katz_backoff,
@@ -13,6 +13,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_license_scan": licenses.op5_license_scan,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_pii_surrogates": pii.op7_pii_surrogates,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_kneser_ney_quality": kneser_ney.op9_kneser_ney_quality,
     "op10_token_files": token_files.op10_token_files,
