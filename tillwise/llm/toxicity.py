@@ -7,7 +7,7 @@ a word costs a few table lookups whatever the number of landmarks. A document sc
 letters that stand alone one after another ("i d i o t") also count as one word.
 
 Training is multiple-instance: a toxic document's label says that some of its words are toxic, so each round
-takes the highest-scoring words of the toxic documents as positives and all kinds of words of clean ones as
+takes the highest-scoring words of the toxic documents (three each, later one) as positives and all kinds of words of clean ones as
 negatives. Labels of at most SAMPLE_TOXIC and SAMPLE_CLEAN documents (the smallest hashes of doc_id) are used; a third
 of them is kept out of the machine and fits the probability.
 
@@ -186,7 +186,7 @@ def train(texts: list[str | None], toxic: list[int], rounds: int = 5) -> Model:
     plain_x = _kernel(plain, table_) @ root
     taken, model = plain, Model(np.zeros(_SLOTS, np.float32), 0.0, 1.0, 0.0)
     for turn in range(rounds):
-        positive = sorted({w for s in suspects for w in sorted(s, key=lambda w: (-score[w], w))[:3] if score[w] > (1 if turn == 0 else 0)})
+        positive = sorted({w for s in suspects for w in sorted(s, key=lambda w: (-score[w], w))[: 3 if turn < 2 else 1] if score[w] > (1 if turn == 0 else 0)})
         if not positive:
             positive = pool[:50]
         x = np.vstack([_kernel(positive, table_) @ root, plain_x])
