@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import slices, table
+from tillwise.llm.common import SLICE_BYTES, slices, table
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 3000
-LANDMARKS = 160
+LANDMARKS = 128
 SPAN, LAMBDA = 6, 0.6
 THRESHOLD = 0.3
 _SLOTS = 1 << 17
@@ -84,6 +84,8 @@ class Model:
     offset: float
 
     def margins(self, words: list[str]) -> np.ndarray:
+        if len(words) > 50_000:
+            return np.concatenate([self.margins(words[i : i + 50_000]) for i in range(0, len(words), 50_000)])
         if not words:
             return np.empty(0, np.float32)
         codes, owner = _letters(words)
@@ -103,6 +105,9 @@ FLOOR = -3.0
 
 def document_margins(model: Model, texts: list[str | None]) -> np.ndarray:
     """The highest margin among a text's words, at least FLOOR."""
+    if sum(len(t or "") for t in texts) > 2 * SLICE_BYTES and len(texts) > 1:
+        half = len(texts) // 2
+        return np.concatenate([document_margins(model, texts[:half]), document_margins(model, texts[half:])])
     sets = [words_of(t) for t in texts]
     words = list(set().union(*sets))
     known = dict(zip(words, model.margins(words).tolist()))
@@ -166,11 +171,16 @@ def train(texts: list[str | None], toxic: list[int], rounds: int = 5) -> Model:
     part = np.arange(len(y)) % 3 == 2
     if min((y[~part] == 1).sum(), (y[part] == 1).sum(), (y[part] == 0).sum()) == 0:
         part = np.zeros(len(y), bool)
-    own = [(words_of(t), label) for t, label, out in zip(texts, toxic, part) if not out]
     dirty, clean = Counter(), Counter()
-    for words, label in own:
-        (dirty if label else clean).update(words)
-    suspects = [[w for w in words if w not in clean] or list(words) for words, label in own if label]
+    bags = []
+    for t, label, out in zip(texts, toxic, part):
+        if not out:
+            words = words_of(t)
+            (dirty if label else clean).update(words)
+            if label:
+                bags.append(words)
+    suspects = [[w for w in words if w not in clean] or list(words) for words in bags]
+    del bags
     pool = sorted({w for s in suspects for w in s}, key=lambda w: (-dirty[w], w))
     common = sorted(clean, key=lambda w: (-clean[w], w))
     step = max(1, len(common) // 6000)
@@ -193,11 +203,12 @@ def train(texts: list[str | None], toxic: list[int], rounds: int = 5) -> Model:
         label = np.array([1.0] * len(positive) + [-1.0] * len(taken))
         cost = np.where(label > 0, 0.5 * len(label) / len(positive), 1.0)
         w = _machine(x, label, np.minimum(cost, 20.0))
-        model = Model((table_ @ (root @ w[:-1])).astype(np.float32), float(w[-1]), 1.0, 0.0)
+        model = Model(table_ @ (root @ w[:-1]).astype(np.float32), float(w[-1]), 1.0, 0.0)
         score = dict(zip(pool, model.margins(pool).tolist()))
         if turn < rounds - 1:  # the clean words that still look worst join the negatives
             worst = np.argsort(-model.margins(common), kind="stable")[:1500]
-            more = [common[i] for i in worst if common[i] not in set(taken)]
+            used = set(taken)
+            more = [common[i] for i in worst if common[i] not in used]
             taken = taken + more
             plain_x = np.vstack([plain_x, _kernel(more, table_) @ root]) if more else plain_x
     held = part if part.any() else ~part
