@@ -201,7 +201,7 @@ def test_decontamination(spark, docs):
 
 def test_licenses(docs, empty):
     n, starts, base, found = licenses.scan("Free. Under the MIT License! (Apache License, Version 2.0) under the mit license CC BY-NC 4.0")
-    assert (n, starts, base) == (19, [1, 5, 9, 13], ["mit", "apache-2", "cc-by-nc"])
+    assert (n, sorted(starts), base) == (19, [1, 5, 10, 14], ["mit", "apache-2", "cc-by-nc"])
     assert {"mit", "apache-2", "cc-by-nc"} <= {f.label for f in found}
     labels = lambda t: {f.label for f in licenses.scan(t)[3]}
     assert labels("This is licensed under the GNU General Public License, version 3.") == {"gpl-3"}  # the bare title lies inside
