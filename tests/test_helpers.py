@@ -102,13 +102,18 @@ def test_walk_forward_regression_equals_refits(spark):
     got = {r.date: float(r.predicted_sales) for r in fc.walk_forward_least_squares(df).collect()}
     keep = [i for i, c in enumerate(names) if c != "division_code"]
     design = np.hstack([np.ones((n, 1)), x[:, keep]])
-    design = design / np.abs(design).max(axis=0)
     target = np.round(y, 2)
     for i in range(40, n):
-        a = design[:i].T @ design[:i] + fc.RIDGE * np.eye(design.shape[1])
-        want = design[i] @ np.linalg.solve(a, design[:i].T @ target[:i])
+        scale = np.abs(design[:i]).max(axis=0)
+        past = design[:i] / scale
+        a = past.T @ past + fc.RIDGE * np.eye(design.shape[1])
+        want = design[i] / scale @ np.linalg.solve(a, past.T @ target[:i])
         assert got[start + timedelta(i)] == pytest.approx(want, abs=0.006)
     assert len(got) == n - design.shape[1]
+    last = start + timedelta(n - 1)
+    changed = df.withColumns({f"x_{c}": F.when(F.col("date") == last, F.lit(500.0)).otherwise(F.col(f"x_{c}")) for c in names})
+    later = {r.date: float(r.predicted_sales) for r in fc.walk_forward_least_squares(changed).collect()}
+    assert {d: v for d, v in later.items() if d < last} == {d: v for d, v in got.items() if d < last}
 
 
 def test_contributions_add_up_to_the_forecast(store):

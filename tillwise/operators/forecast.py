@@ -232,16 +232,15 @@ def walk_forward_least_squares(matrix: DataFrame, columns=FEATURE_COLS) -> DataF
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
         x, y = np.stack(pdf["x"].to_numpy()), pdf["y"].to_numpy()
-        scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
-        x = x / scale
         size = x.shape[1]
-        gram, moment = np.zeros((size, size)), np.zeros(size)
         yhat = np.full(len(y), np.nan)
-        for i in range(len(y)):
-            if i >= size:
-                yhat[i] = x[i] @ np.linalg.solve(gram + RIDGE * np.eye(size), moment)
-            gram += np.outer(x[i], x[i])
-            moment += x[i] * y[i]
+        if len(y) > size:
+            # everything a day's fit sees comes from the days before it, the columns' scale too
+            scale = np.maximum(np.maximum.accumulate(np.abs(x), axis=0), 1e-9)[size - 1 : -1]
+            gram = np.cumsum(x[:, :, None] * x[:, None, :], axis=0)[size - 1 : -1] / (scale[:, :, None] * scale[:, None, :])
+            moment = np.cumsum(x * y[:, None], axis=0)[size - 1 : -1] / scale
+            weights = np.linalg.solve(gram + RIDGE * np.eye(size), moment[:, :, None])[:, :, 0]
+            yhat[size:] = (x[size:] / scale * weights).sum(axis=1)
         return pdf.assign(yhat=yhat)[["date", "division_code", "day_of_week", "event_flag", "sales_amt", "yhat"]]
 
     design = matrix.select(

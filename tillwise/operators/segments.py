@@ -170,29 +170,29 @@ def _vectors(scaled: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="features").transform(scaled)
 
 
-def fit_clusters(points: DataFrame, k: int, seed: int, restarts: int = 1):
+def fit_clusters(points: DataFrame, k: int, seed: int, restarts: int = 10, iterations: int = 300):
     """K-means; of several restarts the one with the least inertia."""
     models = [
-        KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(points)
+        KMeans(k=k, seed=seed + i, maxIter=iterations, featuresCol="features", predictionCol="cluster").fit(points)
         for i in range(restarts)
     ]
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def cluster_sweep(scaled: DataFrame, columns: list[str], ks=range(2, 8), seed: int = 42) -> DataFrame:
+def cluster_sweep(scaled: DataFrame, columns: list[str], ks=range(2, 8), seed: int = 42, restarts: int = 10, iterations: int = 300) -> DataFrame:
     """Inertia and silhouette for each k. Silhouette uses squared distances, which needs one pass."""
     points = _vectors(durable(scaled), columns)
     judge = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
     found = []
     for k in ks:
-        model = fit_clusters(points, k, seed)
+        model = fit_clusters(points, k, seed, restarts, iterations)
         found.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(points)))))
     return scaled.sparkSession.createDataFrame(found, "k int, inertia double, silhouette double")
 
 
-def cluster_labels(base: DataFrame, scaled: DataFrame, columns: list[str], key: str, k: int = 4, seed: int = 42):
+def cluster_labels(base: DataFrame, scaled: DataFrame, columns: list[str], key: str, k: int = 4, seed: int = 42, restarts: int = 10, iterations: int = 300):
     points = _vectors(durable(scaled), columns)
-    labels = fit_clusters(points, k, seed).transform(points).select(key, "cluster")
+    labels = fit_clusters(points, k, seed, restarts, iterations).transform(points).select(key, "cluster")
     return base.join(labels, key)
 
 

@@ -7,8 +7,12 @@ from tillwise.sources.star import pick
 
 
 def marketing_segments(s):
-    """Customers with a marketing segment spread evenly over the four kinds."""
-    segment = pick(list(prep.CUSTOMER_SEGMENTS), (F.col("customer_id") % 4).cast("int"))
+    """Customers with their marketing segment; where a store has none, one spread evenly over the four kinds."""
+    if "segment" in s.customers.columns:
+        return s.customers.select("customer_id", "segment")
+    text = dict(s.customers.dtypes)["customer_id"] == "string"
+    number = F.crc32("customer_id") if text else F.col("customer_id")
+    segment = pick(list(prep.CUSTOMER_SEGMENTS), (number % 4).cast("int"))
     return s.customers.select("customer_id", segment.alias("segment"))
 
 

@@ -10,8 +10,13 @@ def scaled(s):
     return seg.standardise(base(s), seg.MEASURES, "customer_id")
 
 
+def effort(s):
+    chosen = s.settings
+    return {"seed": chosen.seed, "restarts": chosen.cluster_restarts, "iterations": chosen.cluster_iterations}
+
+
 def labelled(s):
-    return seg.cluster_labels(base(s), scaled(s), seg.MEASURES, "customer_id", k=4, seed=s.settings.seed)
+    return seg.cluster_labels(base(s), scaled(s), seg.MEASURES, "customer_id", k=4, **effort(s))
 
 
 def crosstab(s):
@@ -32,7 +37,7 @@ PLANS = {
     "nb_rfm_base": base,
     "nb_describe": lambda s: seg.describe(base(s), seg.MEASURES, "customer_id"),
     "rfm_standardise": scaled,
-    "kmeans_sweep": lambda s: seg.cluster_sweep(scaled(s), seg.MEASURES, seed=s.settings.seed),
+    "kmeans_sweep": lambda s: seg.cluster_sweep(scaled(s), seg.MEASURES, **effort(s)),
     "kmeans_segments": lambda s: seg.cluster_means(labelled(s), seg.MEASURES),
     "sample_rows": lambda s: seg.sample_rows(s.transactions.drop("timestamp"), "transaction_id", 5000, s.settings.seed),
     "nb_cold_snap_segments": lambda s: seg.temp_crosstab(s.transactions, s.daily_sales, "Cold snap", "Normal"),

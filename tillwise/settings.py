@@ -20,6 +20,8 @@ class Settings:
         default_factory=lambda: ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     )
     seed: int = 42
+    cluster_restarts: int = 10
+    cluster_iterations: int = 300
 
 
 # A fashion store with two-digit division codes, where 2x is women's and 3x is men's wear.
