@@ -234,7 +234,7 @@ def test_toxicity_on_held_out_texts(spark):
 def test_kneser_ney_is_normalised(spark, empty, docs):
     rows = [(i, " ".join(WORDS[(i * 7 + j * j) % len(WORDS)] for j in range(30)), "en" if i % 2 else None) for i in range(60)]
     sample = spark.createDataFrame(rows, "doc_id int, text string, lang string")
-    model = kneser_ney.Model(kneser_ney.train(sample).collect())
+    model = kneser_ney.load(kneser_ney.train(sample))
     letters = sorted({c for _, t, _ in rows for c in t})
     for context in ("\x02\x02\x02\x02", "\x02\x02\x02b", " ban", "zzzz"):
         mass = sum(2 ** model.log_p(np.frombuffer((context + c).encode("utf-32-le"), np.uint32), "en")[0] for c in [*letters, "§"])

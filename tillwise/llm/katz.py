@@ -30,8 +30,8 @@ from tillwise.llm.common import durable, slices, table
 from tillwise.llm.hashing import mix, word_hashes
 
 K = 5
-SHARD_TOKENS = 4_000_000
-BLOCK_BYTES = 16 << 20
+SHARD_TOKENS = 2_000_000
+BLOCK_BYTES = 12 << 20
 START, END = np.uint64(0x5F3759DF5F3759DF), np.uint64(0x2545F4914F6CDD1D)
 
 
