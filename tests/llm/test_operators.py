@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -277,3 +278,12 @@ def test_pipeline_keeps_columns(spark, monkeypatch):
         before, docs = docs, stage(spark, docs, sf)
         assert docs.columns == before.columns and docs.join(before, "doc_id", "left_anti").count() == 0
     assert corpus_pipeline.run(spark, sf).count() == docs.count() > 0
+
+
+def test_byte_ids_equal_library_on_odd_texts():
+    vocab = token_files.byte_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(5)
+    bits = [" ", " ", "\n", "\n", "\t", "\r", "\x1c", "\x85", "　", "a", "Was", "é", "日本", "23", "'", "'s", "...", "***", "$$$", "<|endoftext|>", "<", "|", ">", "_", "٣", "́", "🙂", "‍"]
+    for _ in range(4000):
+        text = "".join(rng.choices(bits, k=rng.randint(0, 14)))
+        assert vocab.encode(text).tolist() == vocab.library.encode(text, add_special_tokens=False).ids, repr(text)

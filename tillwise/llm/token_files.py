@@ -35,7 +35,8 @@ _MAGIC = b"RPR1"
 _HEAD = struct.Struct("<4sIIIIQ")
 # between two visible characters around one blank no pre-token continues
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_TAIL = ".,;:!?"
+# marks that, at the end of a piece, are one pre-token of their own after letters
+_TAIL = ".,;:!?#$%&*+-/=@^_~()[]{}"
 
 
 class ByteBpe:
@@ -52,6 +53,7 @@ class ByteBpe:
         self.letters = byte_letters()
         self.stretches = Memo(self._stretch, 100_000)
         self.spaced = Memo(self._spaced, 1_500_000)
+        self.lines = Memo(self._line, 300_000)
 
     def _pack(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
@@ -59,18 +61,31 @@ class ByteBpe:
     def _stretch(self, text: str) -> bytes:
         return self._pack(self.library.encode(text, add_special_tokens=False).ids)
 
+    def _piece(self, blank: str, piece: str, known: Memo) -> bytes:
+        """Ids of a piece without white space at its ends, after a blank or nothing."""
+        word = piece.rstrip(_TAIL)
+        if not word.isalpha():
+            return self._stretch(blank + piece)
+        if len(word) < len(piece):
+            return known[word] + self.stretches[piece[len(word) :]]
+        # a blank and letters are one pre-token: only the library's model is needed
+        shown = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        return self._pack([t.id for t in self.library.model.tokenize(self.letters[32] + shown if blank else shown)])
+
+    def _line(self, piece: str) -> bytes:
+        """Ids of a piece at the start of a line."""
+        return self._piece("", piece, self.lines)
+
     def _spaced(self, piece: str) -> bytes | None:
         """Ids of a blank and a piece; None where the piece alone does not decide them."""
         if not piece or piece[0].isspace() or piece[-1].isspace():
             return None
-        word = piece.rstrip(_TAIL)
-        if not word.isalpha():
-            return self._stretch(" " + piece)
-        if len(word) < len(piece):  # marks after letters are a pre-token of their own
-            return self.spaced[word] + self.stretches[piece[len(word) :]]
-        # a blank and letters are one pre-token: only the library's model is needed
-        shown = self.letters[32] + (word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode())))
-        return self._pack([t.id for t in self.library.model.tokenize(shown)])
+        first, *others = piece.split("\n")
+        # one line end between visible characters is a pre-token of its own
+        if others and not first[-1:].isspace() and all(x and not x[0].isspace() and not x[-1].isspace() for x in others):
+            end = self.stretches["\n"]
+            return self.spaced[first] + b"".join(end + self.lines[x] for x in others)
+        return self._piece(" ", piece, self.spaced)
 
     def encode(self, text: str | None) -> np.ndarray:
         first, *pieces = (text or "").split(" ")
