@@ -187,8 +187,9 @@ def counts_of_counts(blocks: DataFrame) -> list[int]:
         n = np.bincount(np.minimum(Shard(rows).c, K + 2), minlength=K + 3)[1 : K + 2]
         return pa.table({"r": np.arange(1, K + 2), "types": n})
 
-    found = blocks.groupBy("shard").applyInArrow(run, "r bigint, types bigint").groupBy("r").agg(F.sum("types").alias("types"))
-    got = {r["r"]: r["types"] for r in found.collect()}
+    # written, so that the shuffled pairs are gone before `shard_sums` shuffles them again
+    found = durable(blocks.groupBy("shard").applyInArrow(run, "r bigint, types bigint"))
+    got = {r["r"]: r["types"] for r in found.groupBy("r").agg(F.sum("types").alias("types")).collect()}
     return [got.get(r, 0) for r in range(1, K + 2)]
 
 
