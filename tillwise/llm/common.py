@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwise.sources import scratch
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-SLICE_BYTES = 8 << 20
+# for the writing of one table: its shuffle files go at once, and Python workers hold few texts at a time
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,12 +26,14 @@ def durable(df: DataFrame) -> DataFrame:
     The shuffle files behind the written table are not needed again, so Spark may delete them at once.
     """
     conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, "false")
-    conf.set(_CLEANUP, "true")
+    before = {key: conf.get(key) for key in _WRITING}
+    for key, value in _WRITING.items():
+        conf.set(key, value)
     try:
         return scratch.durable(df)
     finally:
-        conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
