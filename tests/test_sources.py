@@ -35,6 +35,24 @@ def test_saved_tables_answer_like_the_source(name, spark, store, saved):
     assert rows_of_spark(present(plan(FileStore(spark, saved)))) == rows_of_spark(present(plan(store)))
 
 
+def test_stored_log_and_inventory_are_read(spark, store):
+    path = scratch_path(spark, "stored")
+    save_store(store, path)
+    assert FileStore(spark, path).stored("forecast_log") is None
+    log = spark.sql(
+        """select date'2000-01-01' forecast_date, date_add(date'2000-01-08', i) target_date, 14 division_code,
+        50.00 predicted_sales, 40.00 lower_bound, 60.00 upper_bound, 100.00 actual_sales, 0.5 error_pct,
+        concat(date_format(date_add(date'2000-01-08', i), 'EEEE'), '/None') context_flags from (select explode(sequence(0, 69)) i)"""
+    )
+    io.write_parquet(conform(log, "forecast_log"), f"{path}/forecast_log")
+    stock = spark.sql("select date'2000-01-03' week_start_date, 's' sku_id, 5L opening_stock, 2L units_sold")
+    io.write_parquet(conform(stock, "inventory"), f"{path}/inventory")
+    held, plans = FileStore(spark, path), all_plans()
+    assert {float(r.signed_error_pct) for r in plans["fc_signed_error"](held).collect()} == {50.0}
+    assert {r.division_code for r in plans["fc_bias_flags"](held).collect()} == {14}
+    assert plans["prep_stock_ledger"](held).count() == 1
+
+
 def test_csv_store_with_its_own_settings(spark, tmp_path):
     """CSV files as a store exports them: text ids, the word None, True and False, empty fields."""
     write = lambda name, text: (tmp_path / f"{name}.csv").write_text(text)

@@ -10,8 +10,9 @@ from tillwise.sources.scratch import durable
 
 
 def log(s):
-    """The forecast log: written once, read by every monitoring query."""
-    return s.keep("forecast_log", lambda: mon.walk_forward_log(joined(s)))
+    """The forecast log that the store holds; else computed and written once, read by every monitoring query."""
+    found = s.stored("forecast_log")
+    return s.keep("forecast_log", lambda: mon.walk_forward_log(joined(s))) if found is None else found
 
 
 def plain(s):

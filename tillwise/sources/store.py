@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillwise.settings import Settings
 from tillwise.sources.scratch import durable
-from tillwise.sources.tables import read_csv_table, read_parquet_table, write_parquet
+from tillwise.sources.tables import exists, read_csv_table, read_parquet_table, write_parquet
 
 
 class Store:
@@ -32,6 +32,10 @@ class Store:
             self._kept[name] = durable(build())
         return self._kept[name]
 
+    def stored(self, table: str) -> DataFrame | None:
+        """A result table that the source already holds, else None."""
+        return None
+
     @cached_property
     def baskets(self) -> DataFrame:
         """When, who and how much of every basket; a source may give these without any join."""
@@ -112,6 +116,10 @@ class FileStore(Store):
         reader = read_csv_table if self.fmt == "csv" else read_parquet_table
         return reader(self.spark, self.path, table)
 
+    def stored(self, table: str) -> DataFrame | None:
+        suffix = ".csv" if self.fmt == "csv" else ""
+        return getattr(self, table) if exists(self.spark, f"{self.path}/{table}{suffix}") else None
+
 
 TABLE_NAMES = (
     "products", "customers", "daily_sales", "division_daily",
