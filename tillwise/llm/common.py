@@ -48,12 +48,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             held += n or 0
         if start < len(sizes):
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
 
 class Memo(dict):
     """A bounded cache: computes a missing entry, and starts anew when full."""
 
-    def __init__(self, compute, most: int = 300_000):
+    def __init__(self, compute, most: int = 150_000):
         super().__init__()
         self.compute, self.most = compute, most
 

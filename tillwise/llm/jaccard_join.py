@@ -110,7 +110,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SLICE_BYTES // 2):
+        for batch in slices(batches, most=SLICE_BYTES // 4):
             sets = shingle_sets(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -135,7 +135,7 @@ def fetched_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """node and hashes of each wanted class (own_id, node, n, print1, print2), from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SLICE_BYTES // 2):
+        for batch in slices(batches, most=SLICE_BYTES // 4):
             sets = shingle_sets(batch.column("text").to_pylist())
             same = pc.and_(pc.equal(_print(sets, _P[2]), batch.column("print1")), pc.equal(_print(sets, _P[3]), batch.column("print2")))
             yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(sets)], ["node", "hashes"]).filter(same)

@@ -35,6 +35,7 @@ THRESHOLD = 0.3
 _SLOTS = 1 << 17
 _WIDTH = 24
 _STEP = 16
+_AT_ONCE = 8_000  # words whose subsequences are held together
 _GAPS = [(a, b, LAMBDA ** (b + 1 - 3)) for b in range(2, SPAN) for a in range(1, b)]
 _TRIM = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _SPACED = re.compile(r"(?<!\S)(?:[^\W\d_] ){2,}[^\W\d_](?!\S)")
@@ -84,8 +85,8 @@ class Model:
     offset: float
 
     def margins(self, words: list[str]) -> np.ndarray:
-        if len(words) > 50_000:
-            return np.concatenate([self.margins(words[i : i + 50_000]) for i in range(0, len(words), 50_000)])
+        if len(words) > _AT_ONCE:
+            return np.concatenate([self.margins(words[i : i + _AT_ONCE]) for i in range(0, len(words), _AT_ONCE)])
         if not words:
             return np.empty(0, np.float32)
         codes, owner = _letters(words)
