@@ -1,6 +1,7 @@
 """The corpus pipeline: each stage works on all that its predecessor kept, written as Parquet in between."""
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, toxicity
 from tillwise.llm.common import durable, table, without_ids
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+NEAR_WORDS, NEAR_LEAST = 5, Fraction(4, 5)  # of near copies: words of a shingle, least Jaccard similarity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +26,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays (operator 8)."""
-    return jaccard_join.one_of_each(docs)
+    """One document of each group of near copies stays (operator 8, on longer shingles and from a lower similarity)."""
+    return jaccard_join.one_of_each(docs, NEAR_WORDS, NEAR_LEAST)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

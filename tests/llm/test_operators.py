@@ -140,6 +140,38 @@ def test_jaccard_join(docs, empty):
     assert jaccard_join.one_of_each(docs).columns == docs.columns
 
 
+def near_copies(seed: int = 8) -> list[tuple[int, str]]:
+    """Texts, each with a copy that has a footer and one with some words changed."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(40):
+        base = [rng.choice(WORDS) + rng.choice(WORDS) for _ in range(rng.choice([7, 9, 14, 60, 250]))]
+        footer = [rng.choice(WORDS) + rng.choice(WORDS) for _ in range(len(base) * 15 // 100)]
+        changed = list(base)
+        for _ in range(rng.randint(1, max(1, len(base) // 25))):
+            changed[rng.randrange(len(base))] = "other"
+        out += [(3 * i, " ".join(base)), (3 * i + 1, " ".join(base + footer)), (3 * i + 2, " ".join(changed))]
+    return out
+
+
+def test_near_copies_of_the_pipeline(spark):
+    import corpus_pipeline
+
+    rows = near_copies()
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    name = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                low, high = sorted((name[a], name[b]))
+                name = [low if x == high else x for x in name]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    stage = dict(corpus_pipeline.STAGES)["n-gram jaccard join"]
+    kept = {r["doc_id"] for r in stage(spark, table, "").collect()}
+    assert kept == {i for i, _ in rows if name[i] == i}
+    assert len(kept) < jaccard_join.one_of_each(table).count() < len(rows)
+
+
 def test_katz_is_exact_and_normalised(docs, empty):
     training = F.coalesce(F.col("doc_id") % 4 != 0, F.lit(True))
     rows = katz.katz_scores(docs, training).collect()

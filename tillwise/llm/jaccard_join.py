@@ -2,9 +2,10 @@
 
 A document's set holds the fingerprints of its distinct shingles. A sketch has parts, and each shingle is XORed
 into one of them, so shingles that two sets share cancel out and the number of parts that differ (the Hamming
-distance) is at most the size of their symmetric difference. Sets of similarity 0.9 and sizes up to s differ in at most
-2s/19 shingles, so of 2s/19 + 1 parts at least one is equal: sketches are joined on the parts of their size
-band. A band also takes in the smaller sets of the bands below, as far as they can be partners. A second sketch
+distance) is at most the size of their symmetric difference. Sets of similarity t and sizes up to s differ in at most
+d = 2s(1 - t)/(1 + t) shingles, so of d + 1 parts at least one is equal: sketches are joined on the parts of their size
+band. An empty part is equal in many sets that have nothing in common; so sets of up to REFINED_PARTS parts join instead on
+all parts of a second sketch for each of their empty ones: linked sets are equal in one of those, too. The words of a shingle and the least similarity are arguments; both default to those of the query. A band also takes in the smaller sets of the bands below, as far as they can be partners. A second sketch
 of SKETCH_BITS parity bits, whose Hamming distance has the same bound, rejects most candidates that
 are equal in a part by chance, before any set is fetched.
 
@@ -13,12 +14,13 @@ with one centre, and the rest only across components, where the distances to the
 possible (Jaccard distance is a metric). Candidates that pass the sketch are verified on the whole sets, so links
 between classes are exact but for 64-bit fingerprints; pairs that components make superfluous are never made.
 
-Null and empty texts have no shingles and link with nothing; one or two words are one shingle. Repeated rows and
+Null and empty texts have no shingles and link with nothing; fewer words than a shingle has are one shingle. Repeated rows and
 ids are rows of their own. A null doc_id names a component only if it has no other id. Other columns are
 ignored, or carried through by `one_of_each`. Texts are read whole.
 """
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,9 @@ from tillwise.llm.common import SLICE_BYTES, durable, slices, table, without_ids
 from tillwise.llm.hashing import mix, word_hashes
 
 SHINGLE = 3
-NUMERATOR, DENOMINATOR = 9, 10  # the least similarity
+LEAST = Fraction(9, 10)  # the least similarity
 CROWDED = 12
+REFINED_PARTS = 64  # beyond, second sketches would make many more keys than there are parts
 SKETCH_BITS = 1024
 BROADCAST_ROWS = 500_000  # of five numbers each
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -48,17 +51,18 @@ def band_starts(most: int = 1 << 40) -> list[int]:
 _BANDS = np.array(band_starts())
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+def shingle_sets(texts: list[str | None], shingle: int = SHINGLE) -> list[np.ndarray]:
     """Sorted fingerprints of the distinct shingles of each text."""
     words, bounds = word_hashes(texts)
-    if len(words) >= SHINGLE:
-        joined = mix(sum(words[i : len(words) - SHINGLE + 1 + i] * _P[i] for i in range(SHINGLE)))
+    if len(words) >= shingle:
+        place = [np.uint64(pow(int(_P[0]), i + 1, 1 << 64)) for i in range(shingle)]
+        joined = mix(sum(words[i : len(words) - shingle + 1 + i] * place[i] for i in range(shingle)))
     else:
         joined = np.empty(0, np.uint64)
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        if b - a >= SHINGLE:
-            out.append(np.unique(joined[a : b - SHINGLE + 1]))
+        if b - a >= shingle:
+            out.append(np.unique(joined[a : b - shingle + 1]))
         elif b > a:
             short = np.array([b - a], np.uint64)
             for i in range(a, b):
@@ -69,22 +73,34 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
-def part_keys(hashes: np.ndarray) -> np.ndarray:
+def _sketch(at: np.ndarray, codes: np.ndarray, parts: int) -> np.ndarray:
+    out = np.zeros(parts, np.uint64)
+    np.bitwise_xor.at(out, at, codes)
+    return out
+
+
+def part_keys(hashes: np.ndarray, least: Fraction = LEAST) -> np.ndarray:
     """Keys of the parts of a set's sketches: in its own band, and in the next ones where partners may be."""
     n = len(hashes)
     if not n:
         return np.empty(0, np.int64)
+    over, under = least.as_integer_ratio()
     j = int(np.searchsorted(_BANDS, n, "right")) - 1
     codes = mix(hashes ^ _P[1])
     out = []
-    while DENOMINATOR * n >= NUMERATOR * int(_BANDS[j]):
+    while under * n >= over * int(_BANDS[j]):
         largest = int(_BANDS[j + 1]) - 1
-        parts = 2 * largest * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR) + 1
+        parts = 2 * largest * (under - over) // (under + over) + 1
         if parts > 1:  # else only equal sets link
-            sketch = np.zeros(parts, np.uint64)
-            np.bitwise_xor.at(sketch, (hashes % np.uint64(parts)).view(np.int64), codes)
             place = np.arange(parts, dtype=np.uint64) + np.uint64(j << 40)
-            out.append(mix(mix(sketch + _P[0]) ^ place * _P[1]).view(np.int64))
+            at = (hashes % np.uint64(parts)).view(np.int64)
+            keys = mix(mix(_sketch(at, codes, parts) + _P[0]) ^ place * _P[1])
+            bare = np.flatnonzero(np.bincount(at, minlength=parts) == 0)
+            if len(bare) and parts <= REFINED_PARTS:
+                second = mix(_sketch((codes % np.uint64(parts)).view(np.int64), codes, parts) + _P[2]) ^ place * _P[3]
+                out += [mix(second + keys[i]).view(np.int64) for i in bare]
+                keys = np.delete(keys, bare)
+            out.append(keys.view(np.int64))
         j += 1
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
@@ -105,20 +121,20 @@ def _print(sets: list[np.ndarray], salt: np.uint64) -> pa.Array:
     return pa.array(np.array([mix(s ^ salt).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64))
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, shingle: int, least: Fraction) -> DataFrame:
     """doc_id, n, print1, print2 (of the whole set), keys and sketch."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=SLICE_BYTES // 4):
-            sets = shingle_sets(batch.column("text").to_pylist())
+            sets = shingle_sets(batch.column("text").to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     _print(sets, _P[2]),
                     _print(sets, _P[3]),
-                    _lists([part_keys(s) for s in sets]),
+                    _lists([part_keys(s, least) for s in sets]),
                     _lists([parity_sketch(s) for s in sets]),
                 ],
                 ["doc_id", *_SET, "keys", "sketch"],
@@ -131,12 +147,12 @@ def signatures(docs: DataFrame) -> DataFrame:
 _SET = ["n", "print1", "print2"]
 
 
-def fetched_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def fetched_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """node and hashes of each wanted class (own_id, node, n, print1, print2), from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=SLICE_BYTES // 4):
-            sets = shingle_sets(batch.column("text").to_pylist())
+            sets = shingle_sets(batch.column("text").to_pylist(), shingle)
             same = pc.and_(pc.equal(_print(sets, _P[2]), batch.column("print1")), pc.equal(_print(sets, _P[3]), batch.column("print2")))
             yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(sets)], ["node", "hashes"]).filter(same)
 
@@ -151,24 +167,25 @@ def hamming(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda t, d: t + d)
 
 
-def may_link(x: Column, y: Column, sizes: Column) -> Column:
+def may_link(x: Column, y: Column, sizes: Column, least: Fraction) -> Column:
     """Whether two sketches leave a link possible between sets of these sizes together."""
-    return (DENOMINATOR + NUMERATOR) * hamming(x, y) <= (DENOMINATOR - NUMERATOR) * sizes
+    over, under = least.as_integer_ratio()
+    return (under + over) * hamming(x, y) <= (under - over) * sizes
 
 
-def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, shingle: int, least: Fraction) -> DataFrame:
     """a, b, low and high (bounds of the Jaccard distance) and linked of each pair."""
     slim = lambda x: rows.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
     sizes = F.col("na") + F.col("nb")
     near = durable(
         pairs.join(slim("a"), "a").join(slim("b"), "b").withColumn("differ", hamming(F.col("sa"), F.col("sb"))).select(
             "a", "b", (2 * F.col("differ") / (sizes + F.col("differ"))).alias("low"),
-            may_link(F.col("sa"), F.col("sb"), sizes).alias("open"),
+            may_link(F.col("sa"), F.col("sb"), sizes, least).alias("open"),
         )
     )
     to_check = near.where("open").select("a", "b")
     nodes = durable(to_check.select(F.col("a").alias("node")).union(to_check.select("b")).distinct())
-    sets = fetched_sets(docs, durable(rows.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("own_id"), "node", *_SET)))
+    sets = fetched_sets(docs, durable(rows.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("own_id"), "node", *_SET)), shingle)
     both = (
         to_check.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
         .join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
@@ -176,7 +193,7 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
     )
     union = F.size("ha") + F.size("hb") - F.col("shared")
     distance = 1 - F.col("shared") / union
-    exact = both.select("a", "b", distance.alias("low"), distance.alias("high"), (DENOMINATOR * F.col("shared") >= NUMERATOR * union).alias("linked"))
+    exact = both.select("a", "b", distance.alias("low"), distance.alias("high"), (least.denominator * F.col("shared") >= least.numerator * union).alias("linked"))
     far = near.where("not open").select("a", "b", "low", F.lit(1.0).alias("high"), F.lit(False).alias("linked"))
     return durable(exact.unionByName(far))
 
@@ -202,9 +219,9 @@ def _pair(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def jaccard_join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row of docs."""
-    rows = durable(signatures(docs).withColumn("node", F.monotonically_increasing_id()))
+def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, least: Fraction = LEAST) -> DataFrame:
+    """doc_id, n_shingles and component_id of each row of docs; shingle in words, least is the similarity of a link."""
+    rows = durable(signatures(docs, shingle, least).withColumn("node", F.monotonically_increasing_id()))
     classes = durable(
         rows.where("n > 0").groupBy(*_SET).agg(F.min("node").alias("node"), F.min("doc_id").alias("class_id"))
     )
@@ -218,7 +235,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     many = durable(crowds.join(centres.select("key", (-F.col("centre")).alias("centre")), "key"))
     within = few.alias("x").join(few.alias("y"), "key").where("x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     star = many.where("node != centre").select(*_pair(F.col("centre"), F.col("node")))
-    first = verified(within.unionByName(star).distinct(), rows, docs)
+    first = verified(within.unionByName(star).distinct(), rows, docs, shingle, least)
     comps = components(first.where("linked"))
 
     # crowded parts: classes outside the centre's component against all that may still link with them
@@ -230,7 +247,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     open_keys = durable(placed.where("comp != main").select("key").distinct())
     placed = durable(placed.join(open_keys, "key", "left_semi").join(rows.select("node", "n", "sketch"), "node"))
     outside = placed.where("comp != main")
-    reach = 1 - NUMERATOR / DENOMINATOR + 1e-9
+    reach = float(1 - least) + 1e-9
     second = durable(
         outside.alias("x")
         .join(placed.alias("y"), "key")
@@ -238,7 +255,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
             (F.col("x.comp") != F.col("y.comp"))
             & (F.col("x.low") - F.col("y.high") <= reach)
             & (F.col("y.low") - F.col("x.high") <= reach)
-            & may_link(F.col("x.sketch"), F.col("y.sketch"), F.col("x.n") + F.col("y.n"))
+            & may_link(F.col("x.sketch"), F.col("y.sketch"), F.col("x.n") + F.col("y.n"), least)
         )
         .select(*_pair(F.col("x.node"), F.col("y.node")))
         .distinct()
@@ -246,7 +263,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     )
     links = first.where("linked")
     if not second.isEmpty():
-        links = links.unionByName(verified(second, rows, docs).where("linked"))
+        links = links.unionByName(verified(second, rows, docs, shingle, least).where("linked"))
         comps = components(links)
     named = classes.join(comps, "node")
     lowest = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))
@@ -257,9 +274,9 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, least: Fraction = LEAST) -> DataFrame:
     """The rows of docs, with all columns, that give their component its name."""
-    return without_ids(docs, jaccard_join(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return without_ids(docs, jaccard_join(docs, shingle, least).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
