@@ -281,6 +281,18 @@ def test_kneser_ney_is_normalised(spark, empty, docs):
     assert kneser_ney.quality(empty, empty.select("doc_id")).count() == 0
 
 
+def test_quality_thresholds_are_out_of_sample(spark):
+    rng = random.Random(11)
+    rows = [(i, " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(40)), "es") for i in range(240)]
+    rows += [(i, None, "es") for i in range(240, 243)] + [(300, rows[0][1], "es")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    out = {r["doc_id"]: r for r in kneser_ney.quality(docs, docs.select("doc_id").where("doc_id < 120")).collect()}
+    assert sum(not out[i]["kept"] for i in range(120, 240)) <= 12  # clean as the trusted ones
+    seen, unseen = ([out[i]["perplexity"] for i in r] for r in (range(120), range(120, 240)))
+    assert abs(np.mean(seen) / np.mean(unseen) - 1) < 0.05 and out[300]["perplexity"] == out[0]["perplexity"]
+    assert len({r["threshold"] for r in out.values()}) == 1 and out[0]["threshold"] <= max(seen)
+
+
 def test_pii(spark, empty, docs):
     rows = [(1, "Mail Bob.X1@Foo.com or bob.x1@foo.com! Call +1 (456) 555-2186 or +1 456 555 2186."), (2, "Mr. John Roe met Mrs Anna Roe; card 4041894974608795, ip 42.144.35.254."),
             (3, None), (4, ""), (5, "Г-н Иванов"), (None, "a@b.co x"), (None, "a@b.co x"), (6, "nothing 12 3.5")]
