@@ -246,6 +246,46 @@ def test_licenses(docs, empty):
     assert licenses.scan_licenses(docs).count() == len(texts()) and licenses.scan_licenses(empty).count() == 0
 
 
+def ways(parsed) -> list[str]:
+    """Texts of a pattern: each alternative of each part at least once, the other parts at their first."""
+    from re import _parser as p
+
+    parts = []
+    for kind, value in parsed:
+        if kind is p.LITERAL:
+            parts.append([chr(value)])
+        elif kind is p.IN:
+            parts.append([chr(x if k is p.LITERAL else x[0]) for k, x in value])
+        elif kind is p.BRANCH:
+            parts.append([t for way in value[1] for t in ways(way)])
+        elif kind is p.SUBPATTERN:
+            parts.append(ways(value[-1]))
+        elif kind is p.MAX_REPEAT:
+            parts.append([t * n for n in {value[0], max(1, value[0])} for t in ways(value[-1])])
+        elif kind is p.ANY:
+            parts.append(["x"])
+    return ["".join(x[i if k == j else 0] for k, x in enumerate(parts)) for j, y in enumerate(parts) for i in range(len(y))] or [""]
+
+
+def test_license_prefilter_leaves_out_no_rule():
+    from re import _parser
+
+    for r in licenses.rules():
+        assert r.needs
+        for text in set(ways(_parser.parse(r.pattern.pattern.decode().removeprefix("(?<= )").removesuffix("(?= )")))):
+            line = f" {text} ".encode()
+            may = set(licenses.tried(line))
+            assert {x for x in licenses.rules() if x.pattern.search(line)} <= may, text
+    labels = lambda t: {f.label for f in licenses.scan(t)[3]}
+    assert labels("released under the Expat License") == {"mit"}
+    assert labels("licensed under the Open Database License") == {"odbl-1"}
+    assert labels("licensed under the Open Data Commons Attribution License") == {"odc-by-1"}
+    assert "cc-by-sa" in labels("licensed under Creative Commons Attribution ShareAlike")
+    assert "cc0-1" in labels("licensed under Creative Commons Zero")
+    assert labels("a GNU GPL notice") == {"gpl"} and labels("a GNU LGPL notice") == {"lgpl"} and labels("a GNU AGPL notice") == {"agpl"}
+    assert labels("see mozilla.org/MPL/2.0") == {"mpl-2"}
+
+
 def test_toxicity_on_held_out_texts(spark):
     rng = random.Random(2)
     insults = ["moronik", "stupidoz", "clownish"]
