@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, katz, kneser_ney, licenses, pii, token_files, toxicity
+from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, katz, kneser_ney, licenses, pii, quality_rules, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_backoff": katz.op1_katz_backoff,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_kneser_ney_quality": kneser_ney.op9_kneser_ney_quality,
     "op10_token_files": token_files.op10_token_files,
+    "op12_quality_rules": quality_rules.op12_quality_rules,
 }
 
-STATEMENTS: dict[str, str] = {"op4_exact_dedup": exact_dedup.OP4_SQL}
+STATEMENTS: dict[str, str] = {"op4_exact_dedup": exact_dedup.OP4_SQL, "op12_quality_rules": quality_rules.OP12_SQL}
