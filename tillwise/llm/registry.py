@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, katz, kneser_ney, licenses, pii, quality_rules, token_files, toxicity
+from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, katz, kneser_ney, licenses, pii, prefix_trie, quality_rules, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_backoff": katz.op1_katz_backoff,
@@ -18,6 +18,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_kneser_ney_quality": kneser_ney.op9_kneser_ney_quality,
     "op10_token_files": token_files.op10_token_files,
     "op12_quality_rules": quality_rules.op12_quality_rules,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
-STATEMENTS: dict[str, str] = {"op4_exact_dedup": exact_dedup.OP4_SQL, "op12_quality_rules": quality_rules.OP12_SQL}
+STATEMENTS: dict[str, str] = {
+    "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op12_quality_rules": quality_rules.OP12_SQL,
+    "op13_prefix_trie": prefix_trie.OP13_SQL,
+}
