@@ -12,7 +12,8 @@ from tillwise.operators import forecast as fc
 from tillwise.operators import segments
 from tillwise.operators.order_stats import ntile_score, quartiles, rows_at
 from tillwise.plans.features import joined
-from tillwise.plans.forecast import matrices
+from tillwise.plans.forecast import matrices, trees
+from tillwise.settings import Boosting
 from tillwise.sources.scratch import durable
 
 
@@ -129,7 +130,7 @@ def test_contributions_add_up_to_the_forecast(store):
 
 def test_boosted_trees_beat_the_mean(store):
     train, test = (durable(m) for m in matrices(store))
-    scored = fc.predict(fc.fit_boosted(train, trees=10), train)
+    scored = fc.tree_forecast(train, trees(store), {"point": "yhat"})
     mean = train.agg(F.avg(F.col("sales_amt").cast("double"))).first()[0]
     y = F.col("sales_amt").cast("double")
     model, naive = scored.agg(F.avg((y - F.col("yhat")) ** 2), F.avg((y - mean) ** 2)).first()
@@ -147,7 +148,8 @@ def test_bounds_are_ordered_and_near_target_on_training_days(store):
 def test_boosted_walk_forward_covers_every_later_day_once(store):
     rows = joined(store).where(F.col("date") < "1996-06-01")
     matrix = durable(feat.feature_matrix(feat.build_features(rows)))
-    log = fc.walk_forward_boosted(matrix, warm_up_weeks=26, every_weeks=20, trees=2, seed=1)
+    few = {"point": Boosting(2, 3, 0.1), "lower": Boosting(2, 3, 0.1, quantile=0.15), "upper": Boosting(2, 3, 0.1, quantile=0.85)}
+    log = fc.walk_forward_boosted(matrix, warm_up_weeks=26, every_weeks=20, models=few)
     start = matrix.agg(F.min("date")).first()[0] + timedelta(weeks=26)
     assert log.count() == matrix.where(F.col("date") >= F.lit(start)).count()
     assert log.select("date", "division_code").distinct().count() == log.count()

@@ -160,15 +160,14 @@ def scenario_rows(context: DataFrame) -> DataFrame:
     )
 
 
-def scenario_forecast(predicted: DataFrame, spread: DataFrame, fallback: float) -> DataFrame:
-    """Clipped forecast with bounds from the division's training errors, else a fixed band."""
+def scenario_forecast(predicted: DataFrame, fallback: float) -> DataFrame:
+    """Forecast and bounds, none below zero. Without columns low and high the bounds are a fixed band."""
     pred = F.greatest(F.lit(0.0), F.col("yhat"))
-    bound = lambda error, other: F.coalesce(F.greatest(F.lit(0.0), F.col("yhat") + F.col(error)), pred * other)
-    return predicted.join(spread, "division_code", "left").select(
+    has_bounds = {"low", "high"} <= set(predicted.columns)
+    bound = lambda column, other: F.greatest(F.lit(0.0), F.col(column)) if has_bounds else pred * other
+    return predicted.select(
         "division_code", "month", "day_of_week", "event_flag",
-        pred.alias("predicted"),
-        bound("low_error", 1 - fallback).alias("lower"),
-        bound("high_error", 1 + fallback).alias("upper"),
+        pred.alias("predicted"), bound("low", 1 - fallback).alias("lower"), bound("high", 1 + fallback).alias("upper"),
     )
 
 

@@ -6,13 +6,16 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.numeric import dbl, fixed, mean, quantile, rnd
+from tillwise.operators.boosting import fit_trees, with_contributions, with_forecast
 from tillwise.operators.features import FEATURE_COLS, assemble, event_columns
 from tillwise.operators.monitor import errors
+from tillwise.settings import Boosting
+from tillwise.sources.scratch import durable
 
 # --- fixed values -----------------------------------------------------------
 AR_LAGS = 7
@@ -160,15 +163,35 @@ def seasonal_band(labelled: DataFrame, code: int) -> DataFrame:
 # --- models over all divisions -----------------------------------------------
 
 
-def fit_boosted(train: DataFrame, trees: int = 20, depth: int = 6, rate: float = 0.1, seed: int = 42):
-    """Boosted trees over all divisions, stopped by a validation column when there is one."""
-    gbt = GBTRegressor(
-        featuresCol="features", labelCol="label", predictionCol="prediction",
-        maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, maxBins=64, seed=seed,
+MODEL_COLUMNS = [f"x_{c}" for c in FEATURE_COLS]
+ROW = ["date", "division_code"]
+
+
+def fit_models(train: DataFrame, models: dict[str, Boosting], only: dict | None = None) -> DataFrame:
+    """The trees of all models in one table; those with patience hold out the rows of is_validation."""
+    return fit_trees(train, MODEL_COLUMNS, "sales_amt", models, ROW, "division_code", only)
+
+
+def tree_forecast(matrix: DataFrame, trees: DataFrame, names: dict[str, str], prefix: F.Column | None = None) -> DataFrame:
+    """Adds a column for each named model. prefix: what the names of a row's models begin with."""
+    for model, name in names.items():
+        plan = F.lit(model) if prefix is None else F.concat(prefix, F.lit(model))
+        matrix = with_forecast(matrix, trees, MODEL_COLUMNS, "division_code", plan, name)
+    return matrix
+
+
+def tree_contributions(matrix: DataFrame, trees: DataFrame, model: str = "point") -> DataFrame:
+    """Shapley values of each feature in each forecast; base plus contributions is the forecast."""
+    wide = with_contributions(
+        matrix.select(*ROW, *MODEL_COLUMNS), trees, MODEL_COLUMNS, "division_code", F.lit(model), [f"part_{c}" for c in FEATURE_COLS]
+    )
+    return _long_parts(wide, FEATURE_COLS)
+
+
+def _long_parts(wide: DataFrame, columns: list[str]) -> DataFrame:
+    return wide.unpivot([*ROW, "base"], [f"part_{c}" for c in columns], "feature", "contribution").withColumn(
+        "feature", F.substring("feature", len("part_") + 1, 99)
     )
-    if "is_validation" in train.columns:
-        gbt = gbt.setValidationIndicatorCol("is_validation")
-    return gbt.fit(assemble(train.withColumn("label", dbl("sales_amt"))))
 
 
 def fit_linear(train: DataFrame):
@@ -200,9 +223,7 @@ def contributions(model, train: DataFrame, rows: DataFrame, columns=FEATURE_COLS
     base = reduce(lambda a, b: a + b, [F.col(f"_m.{c}") * w for c, w in weights.items()]) + float(model.intercept)
     parts = [((F.col(f"x_{c}") - F.col(f"_m.{c}")) * w).alias(f"part_{c}") for c, w in weights.items()]
     wide = rows.withColumn("_m", means).select("date", "division_code", base.alias("base"), *parts)
-    return wide.unpivot(
-        ["date", "division_code", "base"], [f"part_{c}" for c in columns], "feature", "contribution"
-    ).withColumn("feature", F.substring("feature", len("part_") + 1, 99))
+    return _long_parts(wide, columns)
 
 
 def driver_importance(attribution: DataFrame) -> DataFrame:
@@ -257,18 +278,22 @@ def walk_forward_least_squares(matrix: DataFrame, columns=FEATURE_COLS) -> DataF
 # --- walk-forward boosted trees ------------------------------------------------
 
 
-def walk_forward_boosted(matrix: DataFrame, warm_up_weeks: int, every_weeks: int, trees: int, seed: int) -> DataFrame:
-    """Refit the boosted trees every few weeks and forecast the days up to the next refit.
+def walk_forward_boosted(matrix: DataFrame, warm_up_weeks: int, every_weeks: int, models: dict[str, Boosting]) -> DataFrame:
+    """Refit the trees every few weeks on the days before, and forecast the days up to the next refit.
 
-    Each fit is a distributed job over the days before its date; only the refit dates are
-    walked on the driver.
+    All refits are groups of one job: a row goes to every refit after its day. Only the refit dates are listed on the driver.
     """
     first, last = matrix.agg(F.min("date"), F.max("date")).first()
-    cut, parts = first + timedelta(weeks=warm_up_weeks), []
-    while cut <= last:
-        until = cut + timedelta(weeks=every_weeks)
-        model = fit_boosted(matrix.where(F.col("date") < F.lit(cut)), trees=trees, depth=5, seed=seed)
-        ahead = matrix.where((F.col("date") >= F.lit(cut)) & (F.col("date") < F.lit(until)))
-        parts.append(predict(model, ahead))
-        cut = until
-    return reduce(DataFrame.unionByName, parts).withColumn("predicted_sales", fixed("yhat", 2))
+    step = timedelta(weeks=every_weeks)
+    cuts = [first + timedelta(weeks=warm_up_weeks)]
+    while cuts[-1] + step <= last:
+        cuts.append(cuts[-1] + step)
+    plans = {f"{cut}/{name}": plan for cut in cuts for name, plan in models.items()}
+    only = {name: F.col("date") < F.lit(name.split("/")[0]).cast("date") for name in plans}
+    trees = durable(fit_models(matrix, plans, only))
+    since = F.lit(str(cuts[0])).cast("date")
+    cut = F.date_add(since, F.floor(F.datediff("date", since) / (7 * every_weeks)).cast("int") * (7 * every_weeks))
+    ahead = matrix.where(F.col("date") >= since).withColumn("_cut", cut.cast("string"))
+    found = tree_forecast(ahead, trees, {m: f"_{m}" for m in models}, F.concat("_cut", F.lit("/")))
+    named = {"point": "predicted_sales", "lower": "lower_bound", "upper": "upper_bound"}
+    return found.withColumns({name: fixed(f"_{m}", 2) for m, name in named.items()}).drop("_cut", *[f"_{m}" for m in models])

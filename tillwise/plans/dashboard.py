@@ -8,7 +8,7 @@ from tillwise.operators import features as feat
 from tillwise.operators import forecast as fc
 from tillwise.operators import monitor as mon
 from tillwise.plans.features import built, joined
-from tillwise.plans.forecast import log, matrices
+from tillwise.plans.forecast import log, trees
 
 RANGE = "3M"
 
@@ -22,13 +22,17 @@ def scenarios(s):
 
 
 def scenario_forecast(s):
-    """Boosted-tree answers to the scenario grid, with bounds from the training errors."""
-    train, _ = matrices(s)
-    model = fc.fit_boosted(train, seed=s.settings.seed)
-    spread = fc.error_bounds(fc.predict(model, train).withColumnRenamed("yhat", "predicted"))
-    rows = scenarios(s)
-    filled = rows.withColumns({f"x_{c}": F.coalesce(dbl(c), F.lit(0.0)) for c in feat.FEATURE_COLS})
-    return dash.scenario_forecast(fc.predict(model, filled), spread, fc.FALLBACK_BAND)
+    """Answers of the forecast models to the scenario grid, with the bounds of the quantile models."""
+    filled = scenarios(s).withColumns({f"x_{c}": F.coalesce(dbl(c), F.lit(0.0)) for c in feat.FEATURE_COLS})
+    models = {"point": "yhat", "lower": "low", "upper": "high"}
+    known = {r.plan for r in trees(s).select("plan").distinct().collect()}
+    found = fc.tree_forecast(filled, trees(s), {m: c for m, c in models.items() if m in known})
+    return dash.scenario_forecast(found, fc.FALLBACK_BAND)
+
+
+def scenario_forecast_vs_history(s):
+    """Each scenario's forecast against the average of the same division, month and weekday."""
+    return dash.scenario_vs_history(scenario_forecast(s), joined(s))
 
 
 def scenario_vs_history(s):
@@ -50,6 +54,7 @@ PLANS = {
     "dash_scenario_rows": scenarios,
     "dash_scenario_forecast": scenario_forecast,
     "dash_scenario_vs_history": scenario_vs_history,
+    "dash_scenario_forecast_vs_history": scenario_forecast_vs_history,
     "dash_month_bars": lambda s: dash.month_bars(joined(s), s.settings.demo_division, "1Y"),
     "dash_mape_heatmap": lambda s: dash.mape_heatmap(mon.lookup_from_log(log(s))),
     "dash_ci_series": lambda s: dash.ci_series(mon.named_log(log(s), s.division_days), RANGE),

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tillwise.functions.numeric import fixed
 from tillwise.operators import features as feat
 from tillwise.operators import forecast as fc
 from tillwise.operators import monitor as mon
@@ -22,20 +23,31 @@ def plain(s):
 
 
 def matrices(s):
-    """Model matrices of the training and the test weeks, computed once per fit."""
-    matrix = durable(feat.feature_matrix(split(s)))
+    """Model matrices of the training and the test weeks."""
+    matrix = s.keep("model_matrix", lambda: feat.feature_matrix(split(s)))
     return matrix.where(~F.col("is_test")), matrix.where("is_test")
 
 
+def trees(s):
+    """The point and quantile models that the store holds; else fitted once."""
+    found = s.stored("trees")
+    return s.keep("trees", lambda: fc.fit_models(feat.validation_split(matrices(s)[0]), s.settings.models)) if found is None else found
+
+
 def boosted(s):
-    train, test = matrices(s)
-    model = fc.fit_boosted(feat.validation_split(train), seed=s.settings.seed)
-    return fc.predict(model, test).withColumn("y", F.col("sales_amt").cast("double"))
+    _, test = matrices(s)
+    return fc.tree_forecast(test, trees(s), {"point": "yhat"}).withColumn("y", F.col("sales_amt").cast("double"))
+
+
+def boosted_bounds(s):
+    """Forecast and quantile bounds of the test weeks, each row with its own."""
+    found = fc.tree_forecast(matrices(s)[1], trees(s), {"point": "_point", "lower": "_lower", "upper": "_upper"})
+    named = {"predicted": "_point", "lower": "_lower", "upper": "_upper"}
+    return found.select("date", "division_code", "sales_amt", *[fixed(c, 2).alias(n) for n, c in named.items()])
 
 
 def attribution(s):
-    train, test = matrices(s)
-    return fc.contributions(fc.fit_linear(train), train, test)
+    return fc.tree_contributions(matrices(s)[1], trees(s))
 
 
 def comparison(s):
@@ -53,11 +65,11 @@ def least_squares_log(s):
 
 
 def boosted_log(s):
-    """The log of boosted trees refitted once a year of history."""
+    """The log of boosted trees and their quantile bounds, refitted every few weeks of history."""
     rows = joined(s)
     matrix = durable(feat.feature_matrix(feat.build_features(rows)))
-    fitted = fc.walk_forward_boosted(matrix, mon.WARM_UP_WEEKS, every_weeks=52, trees=10, seed=s.settings.seed)
-    return mon.as_log(mon.with_band(fitted), mon.eligible_dates(rows))
+    fitted = fc.walk_forward_boosted(matrix, mon.WARM_UP_WEEKS, s.settings.refit_weeks, s.settings.log_models)
+    return mon.as_log(fitted, mon.eligible_dates(rows))
 
 
 def day_contexts(s):
@@ -77,6 +89,8 @@ PLANS = {
         "date", "division_code", "sales_amt", "predicted", "lower", "upper"
     ),
     "fc_coverage": lambda s: fc.coverage(plain(s)),
+    "fc_boosted_bounds": boosted_bounds,
+    "fc_boosted_coverage": lambda s: fc.coverage(boosted_bounds(s)),
     "fc_accuracy_lookup": lambda s: mon.lookup_from_log(log(s)),
     "fc_accuracy_in_sample": lambda s: mon.accuracy_lookup(
         fc.weekday_mean_forecast(feat.temporal_split(joined(s))[0], feat.temporal_split(joined(s))[0]),

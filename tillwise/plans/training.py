@@ -1,30 +1,31 @@
 """Fit every model once, keep what the report pages need, and read it back."""
 
-from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
-from pyspark.sql import functions as F
+from pyspark.ml.regression import LinearRegressionModel
 
-from tillwise.operators import features as feat
+from tillwise.functions.numeric import fixed
 from tillwise.operators import forecast as fc
 from tillwise.operators import monitor as mon
-from tillwise.plans.forecast import log, matrices
+from tillwise.plans.forecast import log, matrices, trees
 from tillwise.sources.store import Store
 from tillwise.sources.tables import exists, write_parquet
 
-_MODELS = {"point_model": GBTRegressionModel, "driver_model": LinearRegressionModel}
-_TABLES = ["error_bounds", "test_metrics", "accuracy_lookup", "forecast_log", "bias_flags"]
+_MODELS = {"driver_model": LinearRegressionModel}
+_TABLES = ["trees", "error_bounds", "test_metrics", "accuracy_lookup", "forecast_log", "bias_flags"]
 
 
-def train_all(store: Store, path: str, trees: int = 20) -> None:
-    """Point forecast, driver model, bounds, accuracy by context, forecast log and bias flags."""
+def train_all(store: Store, path: str) -> None:
+    """Point and quantile forecasts, driver model, bounds, accuracy by context, forecast log and bias flags.
+
+    In the folder `models` of a FileStore, the trees answer its later queries.
+    """
     train, test = matrices(store)
-    point = fc.fit_boosted(feat.validation_split(train), trees=trees, seed=store.settings.seed)
-    point.write().overwrite().save(f"{path}/point_model")
     fc.fit_linear(train).write().overwrite().save(f"{path}/driver_model")
 
-    on_train = fc.predict(point, train).withColumn("predicted", F.col("yhat").cast("decimal(18,2)"))
-    on_test = fc.predict(point, test).withColumn("predicted", F.col("yhat").cast("decimal(18,2)"))
+    scored = lambda rows: fc.tree_forecast(rows, trees(store), {"point": "yhat"}).withColumn("predicted", fixed("yhat", 2))
+    on_train, on_test = scored(train), scored(test)
     entries = log(store)
     tables = {
+        "trees": trees(store),
         "error_bounds": fc.error_bounds(on_train),
         "test_metrics": mon.errors(on_test, "sales_amt", "predicted"),
         "accuracy_lookup": mon.accuracy_lookup(on_train, "sales_amt", "predicted"),

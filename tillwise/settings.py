@@ -3,6 +3,24 @@
 from dataclasses import dataclass, field
 
 
+@dataclass(frozen=True)
+class Boosting:
+    """How many trees to grow and how. Without a quantile the loss is the squared error.
+
+    With patience, rows held out stop the growth after so many trees without gain, and the trees up to
+    the least held-out error stay. Without patience they are trained on like all others.
+    """
+
+    trees: int
+    depth: int
+    rate: float
+    row_share: float = 1.0
+    column_share: float = 1.0
+    patience: int | None = None
+    quantile: float | None = None
+    seed: int = 42
+
+
 @dataclass(frozen=True)
 class Settings:
     """Years, divisions and customer types of a store. The defaults fit the star-schema tables."""
@@ -22,6 +40,22 @@ class Settings:
     seed: int = 42
     cluster_restarts: int = 10
     cluster_iterations: int = 300
+    # fixed values: the sizes of the forecast models, and of those of the walk-forward log
+    models: dict[str, Boosting] = field(
+        default_factory=lambda: {
+            "point": Boosting(500, 6, 0.05, row_share=0.8, column_share=0.8, patience=20),
+            "lower": Boosting(400, 5, 0.05, quantile=0.15),
+            "upper": Boosting(400, 5, 0.05, quantile=0.85),
+        }
+    )
+    log_models: dict[str, Boosting] = field(
+        default_factory=lambda: {
+            "point": Boosting(150, 5, 0.1, row_share=0.8, column_share=0.8),
+            "lower": Boosting(100, 4, 0.1, quantile=0.15),
+            "upper": Boosting(100, 4, 0.1, quantile=0.85),
+        }
+    )
+    refit_weeks: int = 26
 
 
 # A fashion store with two-digit division codes, where 2x is women's and 3x is men's wear.

@@ -13,6 +13,7 @@ from tillwise.functions import calendar as cal
 from tillwise.functions.numeric import MONEY, big, dbl, fixed, money, ratio
 from tillwise.sources.store import Store
 
+_TABLES = ["customer", "events", "lineitem", "nation", "orders", "part"]
 # Decimal steps of the stand-in margin and basket-size curves.
 PER_MILLE = Decimal("0.001")
 DEPARTMENTS = ["Women", "Men", "Kids", "Others"]
@@ -54,6 +55,9 @@ class StarStore(Store):
     def __init__(self, spark: SparkSession, directory: str):
         self.spark, self.directory = spark, directory
 
+    def input_paths(self) -> list[str]:
+        return [f"{self.directory}/{table}.parquet" for table in _TABLES]
+
     def raw(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.directory}/{table}.parquet")
 

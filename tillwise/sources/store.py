@@ -3,6 +3,7 @@
 from collections.abc import Callable
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,12 +12,28 @@ from tillwise.sources.scratch import durable
 from tillwise.sources.tables import exists, read_csv_table, read_parquet_table, write_parquet
 
 
+# derived tables by session, state of the input files, settings and name; the session is held so that its key stays its own
+_SHARED: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+
+
+def state_of_files(spark: SparkSession, paths: list[str]) -> tuple | None:
+    """What changes when a file is added, removed or rewritten: read from a listing, never from contents. None if a path is missing."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    entry = F.xxhash64("path", "length", "modificationTime")
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(entry), F.max("modificationTime")).first())
+
+
 class Store:
     """Base of all stores: subclasses provide the fact and dimension tables.
 
     `division_days`, `sales_days` and `dense_days` are the small roll-ups (one row per
     day, or per day and division) that every time-series job starts from. Their size
-    follows the calendar, not the number of baskets, and they are written once.
+    follows the calendar, not the number of baskets. They are written once, and again when the input files change.
     """
 
     spark: SparkSession
@@ -26,10 +43,26 @@ class Store:
     def _kept(self) -> dict[str, DataFrame]:
         return {}
 
+    def input_paths(self) -> list[str]:
+        """Files that all derived tables follow from; none if the store cannot tell."""
+        return []
+
+    @cached_property
+    def _state(self) -> tuple | None:
+        paths = self.input_paths()
+        state = state_of_files(self.spark, paths) if paths else None
+        return state and (type(self).__qualname__, *paths, *state)
+
     def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A derived table that is written once and then shared by all queries on this store."""
+        """A derived table that is written once and then shared by all queries of the session on the same files."""
         if name not in self._kept:
-            self._kept[name] = durable(build())
+            key = (id(self.spark), self._state, repr(self.settings), name)
+            if self._state is None or key not in _SHARED:
+                self._kept[name] = durable(build())
+                if self._state is None:
+                    return self._kept[name]
+                _SHARED[key] = (self.spark, self._kept[name])
+            self._kept[name] = _SHARED[key][1]
         return self._kept[name]
 
     def stored(self, table: str) -> DataFrame | None:
@@ -69,15 +102,12 @@ class Store:
 
     @cached_property
     def division_days(self) -> DataFrame:
-        return durable(
-            self.division_daily.select(
-                "date", "division_code", "division_name", "department", "sales_amt", "gp_amt", "gp_ratio"
-            )
-        )
+        columns = ["date", "division_code", "division_name", "department", "sales_amt", "gp_amt", "gp_ratio"]
+        return self.keep("division_days", lambda: self.division_daily.select(*columns))
 
     @cached_property
     def sales_days(self) -> DataFrame:
-        return durable(self.daily_sales)
+        return self.keep("sales_days", lambda: self.daily_sales)
 
     @cached_property
     def dense_days(self) -> DataFrame:
@@ -117,6 +147,9 @@ class FileStore(Store):
         return reader(self.spark, self.path, table)
 
     def stored(self, table: str) -> DataFrame | None:
+        if table == "trees":
+            path = f"{self.path}/models/trees"
+            return self.spark.read.parquet(path) if exists(self.spark, path) else None
         suffix = ".csv" if self.fmt == "csv" else ""
         return getattr(self, table) if exists(self.spark, f"{self.path}/{table}{suffix}") else None
 
