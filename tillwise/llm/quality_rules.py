@@ -97,8 +97,8 @@ def measures(docs: DataFrame) -> DataFrame:
 
 
 def ratio(measure: str) -> Column:
-    """A measure of a document with words, as a whole number."""
-    return F.expr(f"{MEASURES[measure][0]} * {SCALE} div n_words")
+    """A measure of a document, as a whole number; null without words."""
+    return F.expr(f"{MEASURES[measure][0]} * {SCALE} div nullif(n_words, 0)")
 
 
 def sketched(rows: DataFrame) -> DataFrame:
@@ -160,7 +160,7 @@ def judged(rows: DataFrame, bounds: DataFrame) -> DataFrame:
         outside = ratio(name) > F.col(f"most_{name}")
         if both:
             outside = outside | (ratio(name) < F.col(f"least_{name}"))
-        failures.append(F.when((F.col("n_words") > 0) & outside, F.lit(name)))
+        failures.append(F.when(outside, F.lit(name)))
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     failed = F.concat_ws(",", *failures)
     return joined.select("doc_id", "lang", "source", *_COUNTS, base.alias("base_failed"), failed.alias("failed"), (~base & (failed == "")).alias("kept"))
