@@ -6,12 +6,13 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillwise.llm import hard_negatives, prefix_trie, quality_rules
+from tillwise.llm import hard_negatives, jaccard_join, prefix_trie, quality_rules
 
 # --- hard negatives -------------------------------------------------------------
 
@@ -260,3 +261,45 @@ def test_trie_of_copies_ties_and_nothing(spark):
     assert found_trie(spark, []) == Counter() and found_trie(spark, [(None, 1, "user", "x")]) == Counter()
     twice = found_trie(spark, [(5, 1, "user", "a"), (5, 1, "user", "a"), (5, 1, "user", "b")])  # turns of one number, two of them equal
     assert Counter(k[1] for k in twice) == Counter({0: 1, 1: 1, 2: 1, 3: 1})
+
+
+# --- near copies: rows of their own, keys that linked sets share ---------------------
+
+
+def test_repeated_and_null_ids_keep_their_own_rows(spark):
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    near = lambda k: " ".join(base[:-k] + ["changed"] * k)
+    rows = [(3, " ".join(base), "a"), (5, near(1), "b"), (5, "another text of five here", "c"), (None, near(2), "d"), (None, "another text of nobody at all", "e")]
+    rows += [(7, "a copy that stays once only", "f"), (7, "a copy that stays once only", "f"), (8, None, "g"), (9, "", "h")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n string").repartition(3)
+    kept = jaccard_join.one_of_each(docs, 5, Fraction(4, 5))
+    assert kept.columns == docs.columns
+    assert Counter(r["n"] for r in kept.collect()) == Counter("acefgh")
+
+
+@pytest.mark.parametrize("least", [Fraction(4, 5), Fraction(9, 10)])
+def test_linked_sets_share_a_key(least):
+    rng = np.random.default_rng(8)
+    shared = total = 0
+    for _ in range(1500):
+        n = int(rng.integers(5, 600))
+        own = rng.integers(1, 1 << 63, n, dtype=np.uint64)
+        gone = int(n * rng.random() * (1 - float(least)))
+        added = rng.integers(1, 1 << 63, int(n * rng.random() * (1 - float(least))), dtype=np.uint64)
+        other = np.concatenate((own[gone:], added))
+        if least.denominator * (n - gone) < least.numerator * (n + len(added)) or not gone + len(added):
+            continue
+        x, y = (np.unique(s) for s in (own, other))
+        total += 1
+        shared += bool(set(jaccard_join.part_keys(x, least)) & set(jaccard_join.part_keys(y, least)))
+    assert shared == total > 300
+
+
+def test_unrelated_sets_share_no_keys():
+    """Keys grow with the rows, and so do candidates: none at all among sets with nothing in common."""
+    rng = np.random.default_rng(5)
+    for rows in (500, 1000, 2000):
+        sizes = rng.integers(5, 400, rows)
+        keys = np.concatenate([np.unique(jaccard_join.part_keys(rng.integers(1, 1 << 63, n, dtype=np.uint64), Fraction(4, 5))) for n in sizes])
+        assert len(np.unique(keys)) == len(keys) < 0.8 * sizes.sum() + 3 * rows

@@ -3,10 +3,11 @@
 A document's set holds the fingerprints of its distinct shingles. A sketch has parts, and each shingle is XORed
 into one of them, so shingles that two sets share cancel out and the number of parts that differ (the Hamming
 distance) is at most the size of their symmetric difference. Sets of similarity t and sizes up to s differ in at most
-d = 2s(1 - t)/(1 + t) shingles, so of d + 1 parts at least one is equal: sketches are joined on the parts of their size
-band. An empty part is equal in many sets that have nothing in common; so sets of up to REFINED_PARTS parts join instead on
-all parts of a second sketch for each of their empty ones: linked sets are equal in one of those, too. The words of a shingle and the least similarity are arguments; both default to those of the query. A band also takes in the smaller sets of the bands below, as far as they can be partners. A second sketch
-of SKETCH_BITS parity bits, whose Hamming distance has the same bound, rejects most candidates that
+d = 2s(1 - t)/(1 + t) shingles; so if more than d parts of one of them hold a shingle, the two are equal in a part that
+does. Sketches are joined on these parts, per size band. A set that fills no more than d parts goes on with the parts of
+another sketch, and so on until one is full enough: linked sets then meet in the first sketch that is full enough for either.
+A band also takes in the smaller sets of the bands below, as far as they can be partners. A sketch of SKETCH_BITS
+parity bits, whose Hamming distance has the same bound, rejects most candidates that
 are equal in a part by chance, before any set is fetched.
 
 Equal sets become one class first. In a part with few classes all pairs are candidates; in a crowded one, all are compared
@@ -15,36 +16,39 @@ possible (Jaccard distance is a metric). Candidates that pass the sketch are ver
 between classes are exact but for 64-bit fingerprints; pairs that components make superfluous are never made.
 
 Null and empty texts have no shingles and link with nothing; fewer words than a shingle has are one shingle. Repeated rows and
-ids are rows of their own. A null doc_id names a component only if it has no other id. Other columns are
-ignored, or carried through by `one_of_each`. Texts are read whole.
+ids are rows of their own: a row is told by its doc_id and a hash of its text. A null doc_id names a component only if it has
+no other id. Other columns are ignored, or carried through by `one_of_each`. Texts are read whole. The words of a shingle
+and the least similarity, at least 0.7, are arguments; both default to those of the query.
 """
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import SLICE_BYTES, durable, slices, table, without_ids
+from tillwise.llm.common import SLICE_BYTES, durable, slices, table
 from tillwise.llm.hashing import mix, word_hashes
 
 SHINGLE = 3
 LEAST = Fraction(9, 10)  # the least similarity
 CROWDED = 12
-REFINED_PARTS = 64  # beyond, second sketches would make many more keys than there are parts
+SKETCHES = 64  # that a set may go on to; one that fills none of them would meet all such sets of its band
 SKETCH_BITS = 1024
 BROADCAST_ROWS = 500_000  # of five numbers each
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
 def band_starts(most: int = 1 << 40) -> list[int]:
-    """Smallest set size of each band: every size at first, then a tenth more each."""
+    """Smallest set size of each band: every size at first, then a quarter more each."""
     out = [1]
     while out[-1] < most:
-        out.append(max(out[-1] + 1, out[-1] * 11 // 10))
+        out.append(max(out[-1] + 1, out[-1] * 5 // 4))
     return out
 
 
@@ -79,6 +83,21 @@ def _sketch(at: np.ndarray, codes: np.ndarray, parts: int) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=4096)
+def part_counts(band: int, least: Fraction) -> tuple[int, int]:
+    """The most that linked sets of a band differ by, and as many parts as sets of the band usually fill more of."""
+    over, under = least.as_integer_ratio()
+    smallest, largest = int(_BANDS[band]), int(_BANDS[band + 1]) - 1
+    differ = 2 * largest * (under - over) // (under + over)
+    parts = differ + 1
+    while True:
+        empty = parts * math.exp(-0.9 * smallest / parts)  # expected in a set somewhat smaller than the band
+        wanted = differ + 1 + math.ceil(empty + 2.5 * math.sqrt(empty))
+        if wanted <= parts or parts > 2 * (differ + 1):
+            return differ, parts
+        parts += 1
+
+
 def part_keys(hashes: np.ndarray, least: Fraction = LEAST) -> np.ndarray:
     """Keys of the parts of a set's sketches: in its own band, and in the next ones where partners may be."""
     n = len(hashes)
@@ -89,18 +108,19 @@ def part_keys(hashes: np.ndarray, least: Fraction = LEAST) -> np.ndarray:
     codes = mix(hashes ^ _P[1])
     out = []
     while under * n >= over * int(_BANDS[j]):
-        largest = int(_BANDS[j + 1]) - 1
-        parts = 2 * largest * (under - over) // (under + over) + 1
-        if parts > 1:  # else only equal sets link
-            place = np.arange(parts, dtype=np.uint64) + np.uint64(j << 40)
-            at = (hashes % np.uint64(parts)).view(np.int64)
+        differ, parts = part_counts(j, least)
+        for sketch in range(SKETCHES if differ else 0):  # without a difference only equal sets link
+            place = np.arange(parts, dtype=np.uint64) + np.uint64(j << 40 | sketch << 32)
+            spread = mix(hashes + _P[2] * np.uint64(sketch)) if sketch else hashes
+            at = (spread % np.uint64(parts)).view(np.int64)
+            filled = np.bincount(at, minlength=parts) > 0
             keys = mix(mix(_sketch(at, codes, parts) + _P[0]) ^ place * _P[1])
-            bare = np.flatnonzero(np.bincount(at, minlength=parts) == 0)
-            if len(bare) and parts <= REFINED_PARTS:
-                second = mix(_sketch((codes % np.uint64(parts)).view(np.int64), codes, parts) + _P[2]) ^ place * _P[3]
-                out += [mix(second + keys[i]).view(np.int64) for i in bare]
-                keys = np.delete(keys, bare)
-            out.append(keys.view(np.int64))
+            out.append(keys[filled].view(np.int64))
+            if np.count_nonzero(filled) > differ:
+                break
+        else:
+            if differ:
+                out.append(np.array([j], np.int64))
         j += 1
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
@@ -122,7 +142,7 @@ def _print(sets: list[np.ndarray], salt: np.uint64) -> pa.Array:
 
 
 def signatures(docs: DataFrame, shingle: int, least: Fraction) -> DataFrame:
-    """doc_id, n, print1, print2 (of the whole set), keys and sketch."""
+    """doc_id, text_key, n, print1, print2 (of the whole set), keys and sketch."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,17 +151,22 @@ def signatures(docs: DataFrame, shingle: int, least: Fraction) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_key"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     _print(sets, _P[2]),
                     _print(sets, _P[3]),
                     _lists([part_keys(s, least) for s in sets]),
                     _lists([parity_sketch(s) for s in sets]),
                 ],
-                ["doc_id", *_SET, "keys", "sketch"],
+                ["doc_id", "text_key", *_SET, "keys", "sketch"],
             )
 
-    schema = f"doc_id {id_type}, n bigint, print1 bigint, print2 bigint, keys array<bigint>, sketch array<bigint>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = f"doc_id {id_type}, text_key bigint, n bigint, print1 bigint, print2 bigint, keys array<bigint>, sketch array<bigint>"
+    return docs.select("doc_id", "text", text_key()).mapInArrow(run, schema)
+
+
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
 
 
 _SET = ["n", "print1", "print2"]
@@ -156,8 +181,7 @@ def fetched_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             same = pc.and_(pc.equal(_print(sets, _P[2]), batch.column("print1")), pc.equal(_print(sets, _P[3]), batch.column("print2")))
             yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(sets)], ["node", "hashes"]).filter(same)
 
-    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    texts = docs.select("doc_id", "text").join(few, F.col("doc_id").eqNullSafe(F.col("own_id")))
+    texts = docs.select("doc_id", "text").join(small(wanted), F.col("doc_id").eqNullSafe(F.col("own_id")))
     sets = durable(texts.select("node", "text", "print1", "print2").mapInArrow(run, "node bigint, hashes array<bigint>"))
     # rows that repeat a doc_id and its text give their class more than once
     return sets if sets.count() == wanted.count() else durable(sets.dropDuplicates(["node"]))
@@ -219,14 +243,21 @@ def _pair(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, least: Fraction = LEAST) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row of docs; shingle in words, least is the similarity of a link."""
+def small(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def linked_rows(docs: DataFrame, shingle: int, least: Fraction) -> DataFrame:
+    """doc_id, text_key, node, n, comp (the same for rows of a component) and component_id of each row of docs."""
     rows = durable(signatures(docs, shingle, least).withColumn("node", F.monotonically_increasing_id()))
     classes = durable(
         rows.where("n > 0").groupBy(*_SET).agg(F.min("node").alias("node"), F.min("doc_id").alias("class_id"))
     )
-    keyed = rows.join(classes.select("node"), "node", "left_semi").select("node", F.explode("keys").alias("key"))
-    size = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    spare = durable(rows.where("n > 0").select("node").join(classes.select("node"), "node", "left_anti"))
+    keyed = rows.join(small(spare), "node", "left_anti").select("node", F.explode("keys").alias("key"))
+    # most keys occur once: the others are found and written first, so that only they hold rows together
+    size = durable(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     parts = durable(keyed.join(size, "key"))
     few, crowds = parts.where(F.col("size") <= CROWDED), parts.where(F.col("size") > CROWDED)
     # the class that is in most crowds is the most typical one, and links with most of the others
@@ -265,18 +296,40 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, least: Fraction = LEAS
     if not second.isEmpty():
         links = links.unionByName(verified(second, rows, docs, shingle, least).where("linked"))
         comps = components(links)
-    named = classes.join(comps, "node")
+    named = classes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))
-    linked = named.join(lowest, "comp").select("node", "component_id")
-    whole = classes.join(linked, "node", "left").select(*_SET, F.coalesce("component_id", "class_id").alias("component_id"))
-    return rows.select("doc_id", *_SET).join(whole, _SET, "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    whole = named.join(lowest, "comp").select(*_SET, "comp", "component_id")
+    return rows.select("doc_id", "text_key", "node", *_SET).join(whole, _SET, "left").select(
+        "doc_id", "text_key", "node", "n", F.coalesce("comp", "node").alias("comp"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
+def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, least: Fraction = LEAST) -> DataFrame:
+    """doc_id, n_shingles and component_id of each row of docs; shingle in words, least is the similarity of a link."""
+    return linked_rows(docs, shingle, least).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, least: Fraction = LEAST) -> DataFrame:
-    """The rows of docs, with all columns, that give their component its name."""
-    return without_ids(docs, jaccard_join(docs, shingle, least).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """The rows of docs, with all columns, that stay: of each component the one with the least doc_id, null last.
+
+    Of rows with this doc_id the one with the least hash of its text stays, of equal rows one.
+    """
+    rows = durable(linked_rows(docs, shingle, least))
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "node")
+    stays = rows.groupBy("comp").agg(F.min(first)["node"].alias("stays"))
+    judged = rows.join(stays, "comp").select("doc_id", "text_key", (F.col("node") == F.col("stays")).alias("kept"))
+    # by id and text: rows that all go, and rows of which one stays
+    met = judged.groupBy("doc_id", "text_key").agg(F.count_if("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("kept < n")
+    met = durable(met.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), F.col("kept").alias("_kept")))
+    own = docs.withColumn("_key", text_key())
+    same = own["doc_id"].eqNullSafe(F.col("_id")) & (own["_key"] == F.col("_text"))
+    rest = own.join(met.where("_kept = 0"), same, "left_anti")
+    again = met.where("_kept > 0")
+    if not again.isEmpty():
+        turn = Window.partitionBy("doc_id", "_key").orderBy(F.lit(1))
+        one = rest.join(again, same, "left_semi").withColumn("_turn", F.row_number().over(turn)).where("_turn = 1").drop("_turn")
+        rest = rest.join(again, same, "left_anti").unionByName(one)
+    return rest.drop("_key")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

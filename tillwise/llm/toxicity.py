@@ -246,8 +246,21 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, score double")
 
 
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs, with all their columns, that score below the threshold, each judged by its own text."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = document_margins(shared.value, batch.column("text").to_pylist())
+            yield batch.filter(pa.array(shared.value.score(found) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string")) % 4 == 2
+    """Whether a row is kept from training; a null id counts as the text "null"."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null"))) % 4 == 2
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> Model:
