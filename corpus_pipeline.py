@@ -4,10 +4,9 @@ from collections.abc import Callable
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillwise.llm import bpe, decontaminate, exact_dedup, jaccard_join, toxicity
-from tillwise.llm.common import durable, table, without_ids
+from tillwise.llm.common import durable, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 NEAR_WORDS, NEAR_LEAST = 5, Fraction(4, 5)  # of near copies: words of a shingle, least Jaccard similarity
@@ -16,8 +15,7 @@ NEAR_WORDS, NEAR_LEAST = 5, Fraction(4, 5)  # of near copies: words of a shingle
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity machine rejects go (operator 6)."""
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_documents(docs, model)
-    return without_ids(docs, durable(scored.where(F.col("score") >= toxicity.THRESHOLD).select("doc_id")))
+    return toxicity.without_toxic(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
