@@ -19,10 +19,18 @@ from tillwise.sources.scratch import durable
 
 # --- fixed values -----------------------------------------------------------
 AR_LAGS = 7
+MA_SHOCKS = 1
 LOWER_QUANTILE, UPPER_QUANTILE = 0.15, 0.85
 FALLBACK_BAND = 0.12
 TOP_DRIVERS = 8
 # ----------------------------------------------------------------------------
+LONG_LAGS = 28  # of the first estimate of the shocks
+ARMA_ROUNDS = 20
+BENDS = 25  # change points of the trend
+BENDS_WITHIN = 0.8  # of the history
+BEND_PENALTIES = (0.1, 1.0, 10.0, 100.0)
+ORIGINS = (0.5, 0.65, 0.8, 0.9)
+ORIGIN_YEARS = 56 / 365.25
 YEARLY_TERMS = 10
 RIDGE = 1e-3
 PREDICTION_SCHEMA = "date date, division_code int, y double, yhat double"
@@ -88,22 +96,51 @@ def ridge_solution(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> np.nda
     return np.linalg.solve(x.T @ x + ridge * np.eye(x.shape[1]), x.T @ y)
 
 
-def ar_baseline(labelled: DataFrame, lags: int = AR_LAGS) -> DataFrame:
-    """Autoregression on first differences per division, rolled forward over the test days."""
+def lagged(values: np.ndarray, lags: int) -> np.ndarray:
+    """The values 1 to `lags` before each one, zero before the start."""
+    return np.stack([np.concatenate((np.zeros(k), values[: len(values) - k])) for k in range(1, lags + 1)], axis=1)
+
+
+def fit_arma(series: np.ndarray, lags: int, shocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights of the lags and of the shocks before, and the shocks themselves, by regressions.
+
+    A long autoregression gives the first estimate of the shocks; regressing on lags and shocks gives
+    weights, which give new shocks, until the weights settle.
+    """
+    first = max(LONG_LAGS, lags + shocks) if len(series) > 4 * LONG_LAGS else lags
+    x = lagged(series, first)
+    noise = np.where(np.arange(len(series)) < first, 0.0, series - x @ ridge_solution(x[first:], series[first:]))
+    own, weights = lagged(series, lags), np.zeros(lags + shocks)
+    for _ in range(ARMA_ROUNDS):
+        x = np.hstack((own, lagged(noise, shocks))) if shocks else own
+        known = slice(max(lags, shocks) + (first if shocks else 0), None)
+        before, weights = weights, ridge_solution(x[known], series[known])
+        weights[lags:] = np.clip(weights[lags:], -0.98, 0.98)  # beyond, the shocks would grow without end
+        explained, noise = own @ weights[:lags], np.zeros(len(series))
+        for t in range(len(series)):
+            past = noise[max(t - shocks, 0) : t][::-1]
+            noise[t] = series[t] - explained[t] - past @ weights[lags : lags + len(past)] if t >= lags else 0.0
+        if np.abs(weights - before).max() < 1e-4:
+            break
+    return weights[:lags], weights[lags:], noise
+
+
+def ar_baseline(labelled: DataFrame, lags: int = AR_LAGS, shocks: int = MA_SHOCKS) -> DataFrame:
+    """Autoregression with moving average on first differences per division, rolled forward over the test days."""
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
         known = pdf.loc[~pdf["is_test"], "y"].to_numpy()
         test = pdf[pdf["is_test"]]
         steps = np.diff(known)
-        if len(steps) <= 2 * lags:
+        if len(steps) <= 2 * (lags + shocks):
             return test.assign(yhat=known[-1] if len(known) else 0.0)[["date", "division_code", "y", "yhat"]]
-        windows = np.lib.stride_tricks.sliding_window_view(steps, lags)[:-1]
-        weights = ridge_solution(windows, steps[lags:])
-        recent, level, out = list(steps[-lags:]), known[-1], []
+        weights, of_shocks, noise = fit_arma(steps, lags, shocks)
+        recent, noise, level, out = list(steps[-lags:]), list(noise[len(noise) - shocks :]), known[-1], []
         for _ in range(len(test)):
-            step = float(np.dot(weights, recent[-lags:]))
+            step = float(np.dot(weights, recent[::-1][:lags]) + np.dot(of_shocks, noise[::-1][:shocks]))
             recent.append(step)
+            noise.append(0.0)
             level += step
             out.append(level)
         return test.assign(yhat=out)[["date", "division_code", "y", "yhat"]]
@@ -122,17 +159,59 @@ def seasonal_terms() -> F.Column:
     return F.array(F.lit(1.0), years - 30.0, *waves, *weekdays, *events)
 
 
+def trend_bends(years: np.ndarray, upto: float) -> np.ndarray:
+    """Columns that are zero up to a change point and rise from there; the points lie evenly over the first part of the history."""
+    points = np.linspace(years.min(), years.min() + BENDS_WITHIN * (upto - years.min()), BENDS + 2)[1:-1]
+    return np.maximum(years[:, None] - points, 0.0)
+
+
+def penalised(x: np.ndarray, y: np.ndarray, bends: int, penalty: float) -> np.ndarray:
+    """Least squares with a penalty on the last columns."""
+    ridge = np.full(x.shape[1], RIDGE)
+    ridge[len(ridge) - bends :] += penalty
+    return np.linalg.solve(x.T @ x + np.diag(ridge), x.T @ y)
+
+
+def chosen_penalty(x: np.ndarray, years: np.ndarray, y: np.ndarray) -> float:
+    """The penalty on change points whose forecasts of days not yet seen are best, from several origins; infinite: no change points."""
+    errors = dict.fromkeys((*BEND_PENALTIES, np.inf), 0.0)
+    for share in ORIGINS:
+        cut = years.min() + share * (years.max() - years.min())
+        seen = years <= cut
+        ahead = ~seen & (years <= cut + ORIGIN_YEARS)
+        if seen.sum() <= 2 * (x.shape[1] + BENDS) or not ahead.any():
+            continue
+        bends = trend_bends(years, cut)
+        both = np.hstack((x, bends))
+        for penalty in errors:
+            if np.isinf(penalty):
+                yhat = x[ahead] @ ridge_solution(x[seen], y[seen])
+            else:
+                yhat = both[ahead] @ penalised(both[seen], y[seen], BENDS, penalty)
+            errors[penalty] += float(((y[ahead] - yhat) ** 2).sum())
+    return min(errors, key=lambda p: (errors[p], -p))
+
+
+def seasonal_fit(x: np.ndarray, years: np.ndarray, y: np.ndarray, train: np.ndarray) -> np.ndarray:
+    """Fitted values of all days from those of the training days."""
+    penalty = chosen_penalty(x[train], years[train], y[train])
+    if np.isinf(penalty):
+        return x @ ridge_solution(x[train], y[train])
+    both = np.hstack((x, trend_bends(years, years[train].max())))
+    return both @ penalised(both[train], y[train], BENDS, penalty)
+
+
 def seasonal_regression(labelled: DataFrame, keep_train: bool = False) -> DataFrame:
-    """Yearly and weekly seasonality with event effects, one least-squares fit per division."""
+    """Yearly and weekly seasonality with event effects and a trend with change points, one least-squares fit per division."""
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = np.stack(pdf["x"].to_numpy()), pdf["y"].to_numpy()
-        train = ~pdf["is_test"].to_numpy()
-        pdf = pdf.assign(yhat=x @ ridge_solution(x[train], y[train]))
+        pdf = pdf.assign(yhat=seasonal_fit(x, pdf["years"].to_numpy(), y, ~pdf["is_test"].to_numpy()))
         return pdf[["date", "division_code", "y", "yhat", "is_test"]]
 
+    years = (F.unix_date("date") / F.lit(365.25)).alias("years")
     design = labelled.select(
-        "date", "division_code", dbl("sales_amt").alias("y"), "is_test", seasonal_terms().alias("x")
+        "date", "division_code", dbl("sales_amt").alias("y"), "is_test", seasonal_terms().alias("x"), years
     )
     out = per_division(design, fit, PREDICTION_SCHEMA + ", is_test boolean")
     return out if keep_train else out.where("is_test").drop("is_test")
