@@ -2,9 +2,9 @@
 
 
 def all_statements() -> dict[str, str]:
-    from oracle import dashboard, features, forecast, prep, sales, segments, tables_checks, trends
+    from oracle import dashboard, features, forecast, prep, proofs, sales, segments, tables_checks, trends
 
     out: dict[str, str] = {}
-    for module in (tables_checks, sales, segments, trends, prep, features, forecast, dashboard):
+    for module in (tables_checks, sales, segments, trends, prep, features, forecast, dashboard, proofs):
         out.update(module.SQL)
     return out

@@ -20,10 +20,10 @@ def as_query(plan: Plan) -> Query:
 
 
 def all_plans() -> dict[str, Plan]:
-    from tillwise.plans import dashboard, features, forecast, prep, sales, segments, tables
+    from tillwise.plans import dashboard, features, forecast, prep, proofs, sales, segments, tables
 
     plans: dict[str, Plan] = {}
-    for module in (tables, sales, segments, prep, features, forecast, dashboard):
+    for module in (tables, sales, segments, prep, features, forecast, dashboard, proofs):
         plans.update(module.PLANS)
     return plans
 
