@@ -11,6 +11,7 @@ encoded whole: the work runs piece by piece between blanks, which no token cross
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,6 +24,29 @@ from pyspark.sql import functions as F
 from tillwise.llm.common import Memo, slices, table
 
 
+# an id and the place of a symbol in its word, packed beside an id or a rank into one integer
+ID_BITS, PLACE_BITS = 32, 40
+PLACES = (1 << PLACE_BITS) - 1
+
+
+class Recent(Memo):
+    """A bounded cache in two generations: when the younger is full it becomes the older one, so entries in use stay."""
+
+    def __init__(self, compute, most: int = 250_000):
+        super().__init__(compute, most)
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def byte_letters() -> list[str]:
     """The printable letter that stands for each byte in byte-level vocabularies."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -44,47 +68,65 @@ class WordBpe:
         self.suffix: str = model["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # by pair of ids, the rank of its merge; by rank, the id that it makes
+        self.ranks: dict[int, int] = {}
+        self.made: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[self.vocab[left], self.vocab[right]] = (rank, self.vocab[left + right])
-        self.letters = byte_letters()
+            self.ranks[self.vocab[left] << ID_BITS | self.vocab[right]] = rank
+            self.made.append(self.vocab[left + right])
+        letters = byte_letters()
+        # None where the vocabulary lacks the letter of a byte
+        self.inner = [self.vocab.get(x) for x in letters]
+        self.final = [self.vocab.get(x + self.suffix) for x in letters]
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.word_ids = Memo(self.encode_word)
-        self.piece_ids = Memo(lambda piece: np.array(self.encode_piece(piece), "<i4").tobytes())
+        self.word_ids = Recent(self.encode_word)
+        self.piece_ids = Recent(lambda piece: array("i", self.encode_piece(piece)).tobytes())
 
     def encode_word(self, word: str) -> list[int]:
-        """Ids of one pre-token: merge by rank, leftmost first among equals."""
-        symbols = [self.letters[b] for b in word.encode()]
-        symbols[-1] += self.suffix
-        ids = [self.vocab[s] for s in symbols if s in self.vocab]
+        """Ids of one pre-token: merge by rank, leftmost first among equals.
+
+        A queue entry is the rank and the place of a pair; it is stale once another pair, or none, begins there.
+        """
+        raw = word.encode()
+        ids = [self.inner[b] for b in raw]
+        ids[-1] = self.final[raw[-1]]
+        if None in ids:
+            ids = [i for i in ids if i is not None]
         n = len(ids)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue: list[tuple[int, int, int, int, int]] = []
-
-        def offer(left: int) -> None:
-            right = after[left]
-            if right >= 0 and (found := self.merges.get((ids[left], ids[right]))):
-                heapq.heappush(queue, (found[0], left, ids[left], ids[right], found[1]))
-
-        for i in range(n - 1):
-            offer(i)
+        rank_of, made = self.ranks.get, self.made
+        # rank of the pair that begins at each place now
+        rank = [rank_of(a << ID_BITS | b) for a, b in zip(ids, ids[1:])]
+        queue = [r << PLACE_BITS | i for i, r in enumerate(rank) if r is not None]
+        if not queue:
+            return ids
+        heapq.heapify(queue)
+        rank.append(None)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         while queue:
-            _, left, a, b, merged = heapq.heappop(queue)
-            right = after[left]
-            if right < 0 or ids[left] != a or ids[right] != b:
+            entry = heapq.heappop(queue)
+            left = entry & PLACES
+            if rank[left] != entry >> PLACE_BITS:
                 continue  # stale
-            ids[left], ids[right] = merged, -1
-            after[left] = after[right]
-            if after[left] >= 0:
-                before[after[left]] = left
-            after[right] = -1
-            if before[left] >= 0:
-                offer(before[left])
-            offer(left)
-        return [i for i in ids if i >= 0]
+            right = after[left]
+            merged = ids[left] = made[entry >> PLACE_BITS]
+            rank[right], ids[right] = None, None
+            further = after[left] = after[right]
+            if further < n:
+                before[further] = left
+                r = rank[left] = rank_of(merged << ID_BITS | ids[further])
+                if r is not None:
+                    heapq.heappush(queue, r << PLACE_BITS | left)
+            else:
+                rank[left] = None
+            nearer = before[left]
+            if nearer >= 0:
+                r = rank[nearer] = rank_of(ids[nearer] << ID_BITS | merged)
+                if r is not None:
+                    heapq.heappush(queue, r << PLACE_BITS | nearer)
+        return [i for i in ids if i is not None]
 
     def encode_piece(self, piece: str) -> list[int]:
         """Ids of a stretch of text that starts and ends at blanks or the text's ends."""
@@ -94,13 +136,15 @@ class WordBpe:
                 out.append(self.special[part])
                 continue
             # letter by letter, so a final sigma stays a plain one
-            plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+            plain = part.lower() if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
             for word in self.words.findall(plain):
                 out += self.word_ids[word]
         return out
 
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.piece_ids.__getitem__, (text or "").split(" "))), "<i4")
+        # a line feed parts words as a blank does
+        pieces = (text or "").replace("\n", " ").split(" ")
+        return np.frombuffer(b"".join(map(self.piece_ids.__getitem__, pieces)), "<i4")
 
     def decode(self, ids: list[int]) -> str:
         """Vocabulary strings joined by blanks, as is usual where a file names no decoder."""
