@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,57 @@ def test_near_copies_of_the_pipeline(spark):
     assert len(kept) < jaccard_join.one_of_each(table).count() < len(rows)
 
 
+def test_katz_keeps_rows_apart_and_does_not_depend_on_shards(spark, docs, monkeypatch):
+    """Ids and texts that swap places with a null are rows of their own; many shards sum to the same."""
+    swapped = spark.createDataFrame([("a b c", None), (None, "a b c")], "doc_id string, text string")
+    assert sorted(r["n_tokens"] for r in katz.katz_scores(swapped, F.lit(True)).collect()) == [1, 4]
+
+    def scores():
+        rows = katz.katz_scores(docs, F.lit(True)).collect()
+        return sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in rows)
+
+    whole = scores()
+    monkeypatch.setattr(katz, "SHARD_TOKENS", 40)
+    assert scores() == whole
+
+
+def test_katz_blocks_keep_documents_apart(monkeypatch):
+    """Positions, documents, keys and marks of blocks of slices are those of the texts one by one."""
+    texts = ["b a b", None, "", "a " * 40, "c", "b a b"]
+    batch = pa.record_batch({"text": texts, "key": list(range(6)), "training": [True, False, True, True, False, True]})
+    want = [(k, *pair) for k, t in enumerate(texts) for pair in zip(*(x.tolist() for x in katz.tokens([t])[:2]))]
+    for most in (1, 30, 1 << 20):
+        monkeypatch.setattr(katz, "BLOCK_BYTES", most)
+        monkeypatch.setattr(katz, "BLOCK_DOCS", 2 if most == 30 else 16_000)
+        got = []
+        for u, w, doc, keys, marks in katz._blocks(iter([batch.slice(0, 2), batch.slice(2, 3), batch.slice(5)])):
+            assert len(keys) <= katz.BLOCK_DOCS
+            assert marks.tolist() == [k not in (1, 4) for k in keys.tolist()]
+            got += zip(keys[doc].tolist(), u.tolist(), w.tolist())
+        assert got == want
+
+
+def test_bpe_queue_and_cache():
+    """The queue's merges equal a plain scan for the least rank; a full cache of two generations forgets no result."""
+    vocab = bpe.WordBpe(bpe.word_vocabulary())
+    for word in ("a", "hello", "aaaaaaaaaaaaaaaaa", "ababababab" * 30, "mississippi", "straße", "日本語日本語", "!!!!!!!", "'s"):
+        raw = word.encode()
+        ids = [vocab.inner[b] for b in raw[:-1]] + [vocab.final[raw[-1]]]
+        while True:
+            pairs = enumerate(a << bpe.ID_BITS | b for a, b in zip(ids, ids[1:]))
+            ranks = [(vocab.ranks[k], i) for i, k in pairs if k in vocab.ranks]
+            if not ranks:
+                break
+            rank, i = min(ranks)
+            ids[i : i + 2] = [vocab.made[rank]]
+        assert vocab.encode_word(word) == ids, word
+    calls = []
+    cache = bpe.Recent(lambda k: calls.append(k) or [k], 3)
+    for k in (0, 1, 2, 3, 0, 4, 5, 6, 7, 0):
+        assert cache[k] == [k]
+    assert calls[:8] == [0, 1, 2, 3, 4, 5, 6, 7] and len(cache) <= 3 and len(cache.older) <= 3
+
+
 def test_katz_is_exact_and_normalised(docs, empty):
     training = F.coalesce(F.col("doc_id") % 4 != 0, F.lit(True))
     rows = katz.katz_scores(docs, training).collect()

@@ -10,8 +10,9 @@ unseen context has weight 1.
 
 Tables: unigram counts and contexts (backoff weights) are written as Parquet tables. Pair counts are far more than texts
 allow to keep beside them: blocks of texts send their distinct pairs, with the documents they stand in, to shards by
-the second word (frequent words are split by pair), where counts, and from them the parts of every document's score, are
-summed. All sums follow the corpus; no task holds more than a shard.
+the second word (frequent words are split by pair). There the counts are summed and go back to the blocks, where each
+document's score is summed. What travels is a fixed number of bytes a token at most, whatever the number of shards.
+All sums follow the corpus; no task holds more than a shard or a block.
 
 Null and empty texts are one end token. Rows that repeat doc_id and text get the same score, each counted
 in training. A null doc_id counts as the text "null" for the split. An empty table gives an empty result. Other
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +32,9 @@ from tillwise.llm.common import durable, slices, table
 from tillwise.llm.hashing import mix, word_hashes
 
 K = 5
-SHARD_TOKENS = 2_000_000
-BLOCK_BYTES = 12 << 20
+SHARD_TOKENS = 1_000_000
+# a block of texts: about so many bytes, at most so many documents (twice the number of one is a smallint)
+BLOCK_BYTES, BLOCK_DOCS = 5 << 20, 16_000
 START, END = np.uint64(0x5F3759DF5F3759DF), np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -70,20 +73,31 @@ def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return context, token, np.repeat(np.arange(len(texts)), size)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
-    """Texts, keys and training marks of blocks of about BLOCK_BYTES."""
-    texts, keys, marks, size = [], [], [], 0
-    for batch in slices(batches, most=BLOCK_BYTES // 4):
-        got = batch.column("text").to_pylist()
-        texts += got
-        keys += batch.column("key").to_pylist()
-        marks += batch.column("training").to_pylist()
-        size += sum(len(t or "") for t in got)
-        if size >= BLOCK_BYTES:
-            yield texts, keys, marks
-            texts, keys, marks, size = [], [], [], 0
-    if texts:
-        yield texts, keys, marks
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Contexts, tokens and their documents, keys and training marks of blocks of about BLOCK_BYTES of texts.
+
+    Words are hashed slice by slice, which takes many times a slice's bytes; a block is three numbers a token.
+    """
+
+    def block() -> tuple:
+        context, token, doc = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        return context, token, doc, np.concatenate(keys), np.concatenate(marks)
+
+    held, keys, marks, size, docs = [], [], [], 0, 0
+    for batch in (x.slice(k, BLOCK_DOCS) for x in slices(batches) for k in range(0, x.num_rows, BLOCK_DOCS)):
+        if held and (size >= BLOCK_BYTES or docs + batch.num_rows > BLOCK_DOCS):
+            yield block()
+            keys, marks, size, docs = [], [], 0, 0
+        texts = batch.column("text").to_pylist()
+        context, token, doc = tokens(texts)
+        held.append((context, token, (doc + docs).astype(np.int32)))
+        keys.append(batch.column("key").to_numpy())
+        marks.append(batch.column("training").to_numpy(zero_copy_only=False).astype(bool))
+        docs += len(texts)
+        size += sum(len(t or "") for t in texts)
+    if held:
+        yield block()
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -94,27 +108,33 @@ def unigrams(keyed: DataFrame) -> DataFrame:
     """word and c, its count among training tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, _, marks in _blocks(batches):
-            _, token, _ = tokens([t for t, m in zip(texts, marks) if m])
-            word, c = np.unique(token, return_counts=True)
+        for _, token, doc, _, marks in _blocks(batches):
+            word, c = np.unique(token[marks[doc]], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(_signed(word)), pa.array(c.astype(np.int64))], ["word", "c"])
 
     rows = keyed.select("text", "key", "training").mapInArrow(run, "word bigint, c bigint")
     return durable(rows.groupBy("word").agg(F.sum("c").alias("c")))
 
 
-_PAIRS = "shard int, w array<bigint>, w_len array<int>, u array<bigint>, u_len array<int>, doc array<int>, n array<int>, keys array<bigint>, training array<boolean>"
+_PAIRS = "shard int, block bigint, w array<bigint>, w_len array<int>, u array<bigint>, u_len array<smallint>, doc array<smallint>, n array<int>, keys array<bigint>"
 
 
 def pair_blocks(keyed: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
-    """Of each block and shard, the distinct pairs by word and context, and the documents they stand in."""
+    """Of each block and shard, the distinct pairs by word and context, and the documents they stand in.
+
+    A document is its number in the block, twice, plus one if it is for training. One row of a block has the documents' keys.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, keys, marks in _blocks(batches):
-            u, w, doc = tokens(texts)
+        # the same again when a lost task runs anew: a partition of the scan has the same rows in the same order
+        block = TaskContext.get().partitionId() << 32
+        for u, w, doc, keys, marks in _blocks(batches):
+            block += 1
             by_pair = np.isin(w, hot)
             shard = (np.where(by_pair, mix(u ^ mix(w)), mix(w)) % np.uint64(shards)).astype(np.int32)
-            order = np.lexsort((doc, u, w, shard))
+            # documents ascend already, and both sorts keep the order of equals
+            order = np.lexsort((u, w))
+            order = order[np.argsort(shard[order], kind="stable")]
             u, w, doc, shard = u[order], w[order], doc[order], shard[order]
             new_shard = np.concatenate(([True], shard[1:] != shard[:-1]))
             new_w = new_shard | np.concatenate(([True], w[1:] != w[:-1]))
@@ -126,49 +146,57 @@ def pair_blocks(keyed: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
             word_at = np.flatnonzero(new_w[posts][pair_at])
             bounds = [*np.flatnonzero(new_shard[posts][pair_at][word_at]), len(word_at)]
             pair_ends, post_ends = np.append(word_at, len(pair_at)), np.append(pair_at, len(posts))
-            doc, u, w, shard = doc[posts].astype(np.int32), u[posts], w[posts], shard[posts]
+            doc, u, w, shard = doc[posts] * 2 + marks[doc[posts]], u[posts], w[posts], shard[posts]
             for a, b in zip(bounds[:-1], bounds[1:]):
                 pa_, pb = int(pair_ends[a]), int(pair_ends[b])
                 da, db = int(post_ends[pa_]), int(post_ends[pb])
                 row = [
-                    int(shard[da]), _signed(w[pair_at[word_at[a:b]]]), np.diff(pair_ends[a : b + 1]).astype(np.int32),
-                    _signed(u[pair_at[pa_:pb]]), np.diff(post_ends[pa_ : pb + 1]).astype(np.int32), doc[da:db], n[da:db].astype(np.int32),
-                    keys, marks,
+                    _signed(w[pair_at[word_at[a:b]]]), np.diff(pair_ends[a : b + 1]), _signed(u[pair_at[pa_:pb]]),
+                    np.diff(post_ends[pa_ : pb + 1]), doc[da:db], n[da:db], keys if a == 0 else keys[:0],
                 ]
-                kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()]
+                names, kinds = zip(*(x.split(" ") for x in _PAIRS.split(", ")))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row[0]], kinds[0]), *(_one_list(v, k) for v, k in zip(row[1:], kinds[1:]))],
-                    [x.split(" ")[0] for x in _PAIRS.split(", ")],
+                    [pa.array([int(shard[da])], pa.int32()), pa.array([block], pa.int64()), *(_lists(v, [0, len(v)], k) for v, k in zip(row, kinds[2:]))],
+                    list(names),
                 )
 
     return keyed.select("text", "key", "training").mapInArrow(run, _PAIRS)
 
 
-def _one_list(values, kind: pa.DataType) -> pa.ListArray:
-    flat = pa.array(values, kind)
-    return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
+_KINDS = {"array<bigint>": np.int64, "array<int>": np.int32, "array<smallint>": np.int16, "array<double>": np.float64, "array<boolean>": bool}
+
+
+def _lists(values: np.ndarray, ends, kind: str) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.asarray(values).astype(_KINDS[kind], copy=False)))
+
+
+def _ends(lists: list[np.ndarray]) -> np.ndarray:
+    return np.cumsum([0, *map(len, lists)])
+
+
+def _flat(rows: pa.Table, names: list[str]) -> dict[str, list[np.ndarray]]:
+    return {c: [x.values.to_numpy(zero_copy_only=False) for x in rows.column(c).combine_chunks()] for c in names}
 
 
 class Shard:
-    """The pairs of one shard: word, context and training count of each, and where they stand."""
+    """The pairs of one shard: word, context and training count of each, and where they stand in the blocks' rows."""
 
     def __init__(self, rows: pa.Table):
-        flat = {c: [x.values.to_numpy(zero_copy_only=False) for x in rows.column(c).combine_chunks()] for c in rows.column_names if c != "shard"}
-        self.keys = np.concatenate(flat["keys"])
-        training = np.concatenate(flat["training"]).astype(bool)
-        start = np.cumsum([0, *map(len, flat["keys"])])
-        w = np.repeat(np.concatenate(flat["w"]), np.concatenate(flat["w_len"])).view(np.uint64)
-        u = np.concatenate(flat["u"]).view(np.uint64)
+        lists = _flat(rows, ["w", "w_len", "u", "u_len", "doc", "n", "keys"])
+        self.ends = {c: _ends(x) for c, x in lists.items()}
+        self.flat = flat = {c: np.concatenate(x) for c, x in lists.items()}
+        w = np.repeat(flat["w"], flat["w_len"]).view(np.uint64)
+        u = flat["u"].view(np.uint64)
         order = np.lexsort((u, w))
         w, u = w[order], u[order]
         first = np.concatenate(([True], (w[1:] != w[:-1]) | (u[1:] != u[:-1])))
-        pair = np.empty(len(w), np.int32)
-        pair[order] = np.cumsum(first) - 1
         self.w, self.u = w[first], u[first]
-        self.pair = np.repeat(pair, np.concatenate(flat["u_len"]))
-        self.doc = np.concatenate([d + s for d, s in zip(flat["doc"], start.tolist())]).astype(np.int32)
-        self.n = np.concatenate(flat["n"])
-        self.c = np.bincount(self.pair, self.n * training[self.doc], len(self.w)).astype(np.int64)
+        self.pair = np.empty(len(w), np.int32)
+        self.pair[order] = np.cumsum(first) - 1
+        self.post = np.repeat(self.pair, flat["u_len"])
+        self.c = np.bincount(self.post, flat["n"] * (flat["doc"] & 1), len(self.w)).astype(np.int64)
+        del order, first, lists
+        pa.default_memory_pool().release_unused()
 
     def word_counts(self, hot: np.ndarray, hot_c: np.ndarray) -> np.ndarray:
         """Training count of each pair's word."""
@@ -194,52 +222,79 @@ def counts_of_counts(blocks: DataFrame) -> list[int]:
 
 
 _SHARD_OUT = {
-    "key": "bigint", "n_tokens": "int", "n_known": "int", "base": "double", "score": "double",
-    "u": "bigint", "u_key": "bigint", "u_n": "int", "context": "bigint", "lost": "double", "shown": "double",
+    "w_len": "array<int>", "is_end": "array<boolean>", "word_c": "array<bigint>", "u_len": "array<smallint>", "pair_c": "array<bigint>",
+    "doc": "array<smallint>", "n": "array<int>", "keys": "array<bigint>", "new_u": "array<bigint>", "new_doc": "array<smallint>", "new_n": "array<int>",
+    "context": "array<bigint>", "lost": "array<double>", "shown": "array<double>",
 }
 
 
+def _own(c_w: np.ndarray, known: dict) -> np.ndarray:
+    """Discounted probability of words with these counts by themselves."""
+    return np.where(c_w > 0, (c_w - lost(c_w, known["word_lost"])) / max(known["total"], 1), known["unknown"])
+
+
 def shard_sums(blocks: DataFrame, known: dict) -> DataFrame:
-    """One row of arrays per shard: parts of the documents' sums; pairs not seen in training; parts of the contexts."""
-    hot, hot_c, total, types, word_lost, pair_lost = (known[k] for k in ("hot", "hot_c", "total", "types", "word_lost", "pair_lost"))
-    unknown = known["unknown"]
+    """Each block's part of a shard with the counts of its words and pairs, and its pairs not seen in training;
+    one row of a shard has the shard's parts of the contexts."""
 
     def run(rows: pa.Table) -> pa.Table:
         s = Shard(rows)
-        c_w = s.word_counts(hot, hot_c)
-        own = np.where(c_w > 0, (c_w - lost(c_w, word_lost)) / max(total, 1), unknown)
-        seen = s.c > 0
-        term = np.log10(np.where(seen, s.c - lost(s.c, pair_lost), own))
-        # the token is also the context of the next position, whose seen pairs are divided by its count
-        term -= np.where((s.w != END) & (c_w > 0), np.log10(np.maximum(c_w, 1)), 0.0)
-        base = np.log10((c_w + 0.1) / (total + 0.1 * (types + 1)))
-        docs = len(s.keys)
-        sums = [np.bincount(s.doc, s.n * x[s.pair], docs) for x in (np.ones(len(s.w)), c_w > 0, base, term)]
-        there = np.flatnonzero(sums[0])
-        new = np.flatnonzero(~seen[s.pair])
+        c_w = s.word_counts(known["hot"], known["hot_c"])
+        flat, ends, seen = s.flat, s.ends, s.c > 0
+        at_word = s.pair[np.cumsum(flat["w_len"]) - flat["w_len"]]
+        new = ~seen[s.post]
+        new_ends = np.concatenate(([0], np.cumsum(new)))[ends["doc"]]
         u, at = s.u[seen], np.argsort(s.u[seen], kind="stable")
         u = u[at]
         first = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1]))) if len(u) else np.empty(0, np.int64)
         add = (lambda x: np.add.reduceat(x[seen][at], first)) if len(u) else (lambda x: np.empty(0))
-        values = [
-            s.keys[there], sums[0][there], sums[1][there], sums[2][there], sums[3][there],
-            _signed(s.u[s.pair[new]]), s.keys[s.doc[new]], s.n[new], _signed(u[first]), add(lost(s.c, pair_lost)), add(own),
-        ]
-        kinds = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}
-        return pa.table(
-            {name: _one_list(np.asarray(v).astype({"bigint": np.int64, "int": np.int32, "double": float}[t]), kinds[t]) for (name, t), v in zip(_SHARD_OUT.items(), values)}
-        )
+        once = [0] + [len(first)] * len(rows)
+        values = {
+            "w_len": (flat["w_len"], ends["w"]), "is_end": (s.w[at_word] == END, ends["w"]), "word_c": (c_w[at_word], ends["w"]),
+            "u_len": (flat["u_len"], ends["u"]), "pair_c": (s.c[s.pair], ends["u"]),
+            "doc": (flat["doc"] >> 1, ends["doc"]), "n": (flat["n"], ends["doc"]), "keys": (flat["keys"], ends["keys"]),
+            "new_u": (_signed(s.u[s.post[new]]), new_ends), "new_doc": (flat["doc"][new] >> 1, new_ends), "new_n": (flat["n"][new], new_ends),
+            "context": (_signed(u[first]), once), "lost": (add(lost(s.c, known["pair_lost"])), once), "shown": (add(_own(c_w, known)), once),
+        }
+        return pa.table({"block": rows.column("block"), **{c: _lists(*values[c], kind) for c, kind in _SHARD_OUT.items()}})
+
+    return durable(blocks.groupBy("shard").applyInArrow(run, "block bigint, " + ", ".join(f"{k} {v}" for k, v in _SHARD_OUT.items())))
+
+
+_OWN = "block bigint, doc int, key bigint, n_tokens bigint, n_known bigint, base double, score double"
+
+
+def block_sums(sums: DataFrame, known: dict) -> DataFrame:
+    """Of each document, by block and number, the sums over its tokens, without what unseen pairs get from their contexts."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        x = {c: np.concatenate(v) for c, v in _flat(rows, ["w_len", "is_end", "word_c", "u_len", "pair_c", "doc", "n", "keys"]).items()}
+        c_w, is_end = np.repeat(x["word_c"], x["w_len"]), np.repeat(x["is_end"].astype(bool), x["w_len"])
+        c = x["pair_c"]
+        term = np.log10(np.where(c > 0, c - lost(c, known["pair_lost"]), _own(c_w, known)))
+        # the token is also the context of the next position, whose seen pairs are divided by its count
+        term -= np.where(~is_end & (c_w > 0), np.log10(np.maximum(c_w, 1)), 0.0)
+        base = np.log10((c_w + 0.1) / (known["total"] + 0.1 * (known["types"] + 1)))
+        docs = len(x["keys"])
+        pa.default_memory_pool().release_unused()
+        add = lambda v: np.bincount(x["doc"], x["n"] * np.repeat(v, x["u_len"]), docs)
+        whole = lambda v: add(v).astype(np.int64)
+        return pa.table({
+            "block": np.full(docs, rows.column("block")[0].as_py(), np.int64), "doc": np.arange(docs, dtype=np.int32), "key": x["keys"],
+            "n_tokens": whole(np.ones(len(c))), "n_known": whole(c_w > 0), "base": add(base), "score": add(term),
+        })
 
-    return durable(blocks.groupBy("shard").applyInArrow(run, ", ".join(f"{k} array<{v}>" for k, v in _SHARD_OUT.items())))
+    parts = sums.select("block", "w_len", "is_end", "word_c", "u_len", "pair_c", "doc", "n", "keys")
+    return parts.groupBy("block").applyInArrow(run, _OWN)
 
 
-def _rows(sums: DataFrame, names: list[str]) -> DataFrame:
-    return sums.select(F.explode(F.arrays_zip(*names)).alias("x")).select("x.*")
+def _rows(sums: DataFrame, names: list[str], *also: str) -> DataFrame:
+    return sums.select(*also, F.explode(F.arrays_zip(*names)).alias("x")).select(*also, "x.*")
 
 
 def katz_scores(docs: DataFrame, training: Column) -> DataFrame:
     """doc_id, training, n_tokens, n_known, train_tokens, base_score and score of each row of docs."""
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"), training.alias("training"))
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text", *(F.col(c).isNull() for c in ("doc_id", "text"))).alias("key"), training.alias("training"))
     words = unigrams(keyed)
     classes = [F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, K + 2)]
     total, types, texts, *n = words.agg(
@@ -265,20 +320,19 @@ def katz_scores(docs: DataFrame, training: Column) -> DataFrame:
         )
     )
     backed = (
-        _rows(sums, ["u", "u_key", "u_n"])
-        .join(contexts.select(F.col("context").alias("u"), F.log10("spread").alias("bonus")), "u")
-        .select(F.col("u_key").alias("key"), F.lit(0).alias("n_tokens"), F.lit(0).alias("n_known"), F.lit(0.0).alias("base"), (F.col("u_n") * F.col("bonus")).alias("score"))
+        _rows(sums, ["new_u", "new_doc", "new_n"], "block")
+        .join(contexts.select(F.col("context").alias("new_u"), F.log10("spread").alias("bonus")), "new_u")
+        .select("block", F.col("new_doc").cast("int").alias("doc"), (F.col("new_n") * F.col("bonus")).alias("score"))
     )
-    own = _rows(sums, ["key", "n_tokens", "n_known", "base", "score"]).unionByName(backed).groupBy("key").agg(
-        *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score"))
+    own = block_sums(sums, known).unionByName(backed, allowMissingColumns=True).groupBy("block", "doc").agg(
+        F.max("key").alias("key"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score"))
     )
-    names = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
-    each = own.join(names, "key")
-    mean = lambda c: F.col(c) / F.col("copies")
+    # rows that repeat id and text have one key and equal sums
+    each = own.groupBy("key").agg(F.max("n_tokens").alias("n_tokens"), F.max("n_known").alias("n_known"), F.avg("base").alias("base"), F.avg("score").alias("score"))
     opening = F.lit(-math.log10(texts) if texts else 0.0)
     return keyed.select("doc_id", "training", "key").join(each, "key").select(
-        "doc_id", "training", mean("n_tokens").cast("bigint").alias("n_tokens"), mean("n_known").cast("bigint").alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"), mean("base").alias("base_score"), (mean("score") + opening).alias("score"),
+        "doc_id", "training", "n_tokens", "n_known",
+        F.lit(total).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), (F.col("score") + opening).alias("score"),
     )
 
 
