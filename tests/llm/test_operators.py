@@ -284,6 +284,48 @@ def test_decontamination(spark, docs):
     assert decontaminate.contaminated(table.limit(0), bench).count() == 0
 
 
+def test_decontamination_finds_edited_items(spark):
+    item = "A train leaves at 9 with Anna aboard and after 12 km it meets Boris who waited 9 minutes near the old red bridge"
+    words = item.split()
+    put, gone, two = list(words), list(words), list(words)
+    put.insert(12, "suddenly")
+    del gone[8]
+    two[8], two[18] = "afterwards", "beside"
+    start = "Anna has 12 red apples and gives five of them to her younger brother"
+    short = "What is the capital of France?"
+    pad = "Some words of no matter stand here before it and go on for a while "
+    rows = [
+        (1, pad + " ".join(put)), (2, pad + " ".join(gone) + " " + pad), (3, pad + " ".join(two)), (4, "Then: " + start.replace("Anna", "Dmitri").replace("12", "7")),
+        (5, "Question: " + short), (6, pad + short), (7, "a fine day"), (8, pad + "is the capital far away"), (9, (pad * 3000) + item + " " + pad * 500),
+        (10, " ".join(words[:8]) + " " + pad * 2 + " ".join(words[8:12])),  # a third of the item
+        (11, " ".join(w for pair in zip(words, ["x", "y", "z"] * 8) for w in pair)),  # no window is left
+    ]
+    table = spark.createDataFrame([(i, t, 1, "x", 2, 3) for i, t in rows], "doc_id int, text string, id int, item string, low int, width int")
+    bench = spark.createDataFrame([(1, item, 7), (2, start, 7), (3, short, 7), (4, "fine", 7)], "item_id int, text string, at int")
+    found = {r["doc_id"]: r["items"] for r in decontaminate.contaminated(table, bench).collect()}
+    assert found == {1: [1], 2: [1], 3: [1], 4: [2], 5: [3], 6: [3], 9: [1]}
+    kept = decontaminate.clean_documents(table, bench)
+    assert kept.columns == table.columns and sorted(r["doc_id"] for r in kept.collect()) == [7, 8, 10, 11]
+
+
+def test_decontamination_windows_lie_in_one_text(spark):
+    """Windows of texts taken together are those of each text alone."""
+    some = ["One two. Three 4 km Five", None, "", "six", "Seven eight nine Ten eleven. Twelve 13 14 km 15", "a b c d e f"]
+    together = decontaminate.tokens(some)
+    for whole in (False, True):
+        got = defaultdict(Counter)
+        for w in decontaminate.windows(together, decontaminate.WIDTHS, whole):
+            first = w.form.bounds[w.first]
+            for text, at, h in zip(together.text[first].tolist(), together.at[first].tolist(), w.hashes.tolist()):
+                got[text][at, h] += 1
+        for i, text in enumerate(some):
+            alone = decontaminate.tokens([text])
+            want = Counter()
+            for w in decontaminate.windows(alone, decontaminate.WIDTHS, whole):
+                want.update(zip(alone.at[w.form.bounds[w.first]].tolist(), w.hashes.tolist()))
+            assert got[i] == want
+
+
 def test_licenses(docs, empty):
     n, starts, base, found = licenses.scan("Free. Under the MIT License! (Apache License, Version 2.0) under the mit license CC BY-NC 4.0")
     assert (n, sorted(starts), base) == (19, [1, 5, 10, 14], ["mit", "apache-2", "cc-by-nc"])
