@@ -60,6 +60,9 @@ FROM joined WHERE date > (SELECT max(date) FROM joined) - 56
 UNION ALL SELECT 'accuracy_lookup', count(*), 0 FROM lookup
 UNION ALL SELECT 'bias_flags', count(*), 0 FROM flags"""),
     "schema_contract": q(ALL, UNITS + "\n" + "\nUNION ALL ".join(CHECKS)),
+    "contract_rows": q(ALL, UNITS + "\n" + "\nUNION ALL ".join(
+        f"SELECT '{shown(t)}' AS table_name, count(*) AS num_rows, count(*) FILTER (WHERE {c} IS NULL) AS num_broken FROM {t}"
+        for t, c in SUMMED.items())),
     "audit_row_counts": q(ALL, UNITS + "\n" + "\nUNION ALL ".join(
         f"SELECT '{shown(t)}' AS table_name, count(*) AS num_rows FROM {t}" for t in SUMMED)),
 }

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.compare import rows_of_spark
 from tests.conftest import SMALL
-from tillwise.operators.contract import check_contract
+from tillwise.operators.contract import check_contract, count_broken, screen
 from tillwise.plans.present import present
 from tillwise.plans.registry import all_plans
 from tillwise.settings import FASHION_STORE
@@ -94,6 +94,61 @@ def test_contract_finds_doubles_and_orphans(spark):
     assert got[("transactions", "key transaction_id")] == 0
 
 
+def test_screen_keeps_broken_rows_aside(spark, tmp_path):
+    rows = [("2024-01-01", "2024-01-02", "11", "5.50", None, "x"), ("2024-01-01", "no date", "11", "5.50", "1", "x"),
+            (None, "2024-01-02", "eleven", None, "much", "y"), (None, None, None, None, None, None)]
+    log = spark.createDataFrame(rows, "forecast_date string, target_date string, division_code string, predicted_sales string, actual_sales string, note string")
+    scans = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            scans.add(b.num_rows)
+            yield b
+
+    got = screen(log.mapInArrow(passed, log.schema), "forecast_log", str(tmp_path / "log"))
+    assert scans.value == 4  # each row is read once
+    assert {c: n for c, n in got.violations.items() if n} == {
+        "null forecast_date": 2, "null target_date": 1, "type target_date": 1, "null division_code": 1, "type division_code": 1,
+        "null predicted_sales": 2, "type actual_sales": 1}
+    assert [(r.division_code, str(r.predicted_sales), r.actual_sales) for r in got.good.collect()] == [(11, "5.50", None)]
+    assert got.good.columns == spark.createDataFrame([], SCHEMAS["forecast_log"]).columns
+    bad = {r.note: set(r.broken) for r in got.rejected.collect()}
+    assert bad["x"] == {"type target_date"}
+    assert bad["y"] == {"null forecast_date", "type division_code", "null predicted_sales", "type actual_sales"}
+    counts = count_broken({"forecast_log": log, "products": spark.createDataFrame([], "sku_id string, other int")})
+    assert {tuple(r) for r in counts.collect()} == {("forecast_log", 4, 3), ("products", 0, 0)}
+    none = screen(spark.createDataFrame([(1,)], "other int"), "products", str(tmp_path / "none"))
+    assert none.violations == {} and none.good.count() == 1 and none.rejected.count() == 0
+
+
+def test_replacing_a_table_is_one_step(spark, tmp_path, monkeypatch):
+    name, path = "replaced_in_one_step", str(tmp_path / "t")
+    rows = lambda: sorted(r.id for r in spark.table(name).collect())
+    versions = lambda: len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("version-")])
+    try:
+        io.replace_table(spark.range(3), name, path)
+        held = spark.table(name)
+        io.replace_table(spark.range(5), name, path)
+        assert rows() == [0, 1, 2, 3, 4] and versions() == 2
+        assert held.count() in (3, 5)  # a reader of the old version still finds its files
+        io.replace_table(spark.range(5, 7), name, path)
+        assert rows() == [5, 6] and versions() == 2
+        with monkeypatch.context() as m:
+            m.setattr(io, "_switch", lambda *_: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                io.replace_table(spark.range(9), name, path)
+        assert rows() == [5, 6]
+        with pytest.raises(Exception):
+            io.replace_table(spark.range(9).select("id", F.raise_error(F.lit("broken")).alias("x")), name, path)
+        assert rows() == [5, 6]
+        io.replace_table(spark.table(name).withColumn("id", F.col("id") + 1), name, path)  # from its own rows
+        assert rows() == [6, 7]
+        io.replace_table(spark.range(2).withColumn("more", F.lit("x")), name, path)
+        assert rows() == [0, 1] and spark.table(name).columns == ["id", "more"] and versions() == 2
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_durable_rows_live_in_the_shared_folder(spark):
     kept = durable(spark.range(10).withColumn("x", F.rand()))
     assert shared_dir(spark).removeprefix("file:") in kept.inputFiles()[0]

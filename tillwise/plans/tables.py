@@ -80,10 +80,10 @@ def csv_sink(s):
 
 def table_sink(s):
     """Write a catalog table twice; the second write replaces the first."""
-    name = "division_totals_table"
+    name, path = "division_totals_table", scratch_path(s.spark, "division_totals_table")
     totals = sales.division_annual(s.division_daily)
-    io.replace_table(totals.limit(0), name, scratch_path(s.spark, name))
-    io.replace_table(totals, name, scratch_path(s.spark, name))
+    io.replace_table(totals.limit(0), name, path)
+    io.replace_table(totals, name, path)
     return s.spark.table(name)
 
 
@@ -129,6 +129,7 @@ PLANS = {
     "sink_csv": csv_sink,
     "sink_table_replace": table_sink,
     "schema_contract": lambda s: contract.check_contract(seven_tables(s)),
+    "contract_rows": lambda s: contract.count_broken(seven_tables(s)),
     "audit_row_counts": lambda s: contract.row_counts(seven_tables(s)),
     "model_save_load": artefacts,
 }

@@ -46,6 +46,14 @@ KEYS: dict[str, list[str]] = {
     "forecast_log": ["target_date", "division_code"],
 }
 
+# columns that may be empty; all others must hold a value
+OPTIONAL: dict[str, list[str]] = {
+    "customers": ["join_date", "last_visit_date"],
+    "daily_sales": ["yoy_pct"],
+    "division_daily": ["vs_target_pct", "vs_ly_pct"],
+    "forecast_log": ["lower_bound", "upper_bound", "actual_sales", "error_pct", "context_flags"],
+}
+
 # (table, column, referenced table, referenced column)
 REFERENCES: list[tuple[str, str, str, str]] = [
     ("transactions", "customer_id", "customers", "customer_id"),

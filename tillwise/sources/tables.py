@@ -1,5 +1,7 @@
 """Readers and writers for the retail tables."""
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +67,43 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] = ()) -> Non
 
 
 def replace_table(df: DataFrame, name: str, path: str) -> None:
-    """Drop and rewrite a catalog table whose files live at `path`."""
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-    df.write.mode("overwrite").option("path", path).saveAsTable(name)
+    """Replace the rows of a catalog table by a new version below `path`, in one step for its readers.
+
+    The version is written whole before the catalog points to it, so a write that fails leaves the table as it was.
+    The version replaced stays until the next call, for queries that still read it; those before it go. A table whose
+    columns change is dropped and made anew over the written files, for the catalog has no single step for this.
+    """
+    spark = df.sparkSession
+    version = f"{path}/version-{uuid.uuid4().hex}"
+    df.write.parquet(version)
+    before = location(spark, name)
+    _switch(spark, name, version)
+    _drop_versions(spark, path, keep=[version, before])
+
+
+def location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a catalog table, None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+
+
+def _switch(spark: SparkSession, name: str, version: str) -> None:
+    fields = [(f.name, f.dataType) for f in spark.read.parquet(version).schema]
+    if spark.catalog.tableExists(name):
+        if [(f.name, f.dataType) for f in spark.table(name).schema] == fields:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path=version, source="parquet")
+
+
+def _drop_versions(spark: SparkSession, path: str, keep: list[str | None]) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    kept = {k.rstrip("/").rsplit("/", 1)[-1] for k in keep if k}
+    for found in files.listStatus(folder):
+        if found.getPath().getName().startswith("version-") and found.getPath().getName() not in kept:
+            files.delete(found.getPath(), True)
