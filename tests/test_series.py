@@ -46,6 +46,25 @@ def test_baseline_with_shocks_beats_lags_alone(spark):
     assert off(1) < 0.8 * off(0)
 
 
+@pytest.mark.parametrize("seed", range(3, 9))
+def test_shocks_without_a_law_leave_forecasts_that_settle(spark, seed):
+    """A random walk: seven lags and a shock explain each other away, and rounds that don't settle must not be forecast from."""
+    series = np.random.default_rng(seed).normal(0, 5, 189)
+    lags, shocks, noise = fc.fit_arma(series, 7, 1)
+    assert fc.settles(lags) and np.isfinite(noise).all() and noise @ noise < 1.2 * (series @ series)
+    start, level = date(2024, 1, 1), 500 + np.cumsum(series)
+    rows = [(start + timedelta(i), 1, float(v), i >= 130) for i, v in enumerate(level)]
+    df = spark.createDataFrame(rows, "date date, division_code int, sales_amt double, is_test boolean")
+    ahead = [r.yhat for r in fc.ar_baseline(df).collect()]
+    assert np.abs(np.array(ahead) - level[129]).max() < 50
+
+
+def test_lags_that_grow_without_end_are_replaced():
+    growing = 1.5 ** np.arange(40)
+    assert not fc.settles(fc.ridge_solution(fc.lagged(growing, 2)[2:], growing[2:]))
+    assert fc.settles(fc.fit_arma(growing, 2, 0)[0]) and fc.settles(fc.fit_arma(growing, 2, 1)[0])
+
+
 def seasonal_days(n=1500):
     years = (np.arange(n) + 10_000) / 365.25
     angle = 2 * np.pi * years
