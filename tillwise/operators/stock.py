@@ -1,21 +1,18 @@
 """Weekly stock ledger per SKU."""
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.numeric import dbl, rnd
-from tillwise.operators.prep import week_range
+from tillwise.operators.prep import dealt, week_range
 
 # Weekly velocity by price tier, opening cover and top-up in weeks.
 VELOCITY = {"Entry": 27, "Core": 16, "Mid": 7, "Premium": 3}
 OPENING_WEEKS = 15
 TOP_UP_WEEKS = 6
 REORDER_BELOW_WEEKS = 4
-_SKUS_PER_BATCH = 1000
 
 
 def stock_ledger(units: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
@@ -23,7 +20,8 @@ def stock_ledger(units: DataFrame, products: DataFrame, dates: DataFrame) -> Dat
 
     Each week depends on the one before, so a SKU's weeks are folded in order. They come
     as one array per SKU, whose length is the number of weeks; the fold steps through the
-    weeks for a whole batch of SKUs at once.
+    weeks for a whole batch of SKUs at once and returns arrays, which are spread over the weeks last.
+    So rows stay where their SKU is, and a query that needs no stock runs no fold.
     """
     velocity = F.lit(10)
     for tier, weekly in VELOCITY.items():
@@ -31,58 +29,42 @@ def stock_ledger(units: DataFrame, products: DataFrame, dates: DataFrame) -> Dat
     entry = F.struct("week_start", F.col("units_sold").cast("bigint").alias("units_sold"))
     known = products.select("sku_id", velocity.alias("velocity"), F.lit(None).alias("entry"))
     sold = units.select("sku_id", F.lit(None).cast("int").alias("velocity"), entry.alias("entry"))
-    # A SKU and its weeks meet in one shuffle. The partition number is given because the
-    # ledger is far larger than the input by which adaptive execution would merge partitions.
-    parts = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fold = F.arrow_udf(_fold_weeks, "struct<opening: array<bigint>, received: array<bigint>, closing: array<bigint>>")
+    # a SKU and its weeks meet in one shuffle
     per_sku = (
-        known.unionByName(sold)
-        .repartition(parts, "sku_id")
+        dealt(known.unionByName(sold))
         .groupBy("sku_id")
         .agg(F.max("velocity").alias("velocity"), F.map_from_entries(F.collect_list("entry")).alias("sold"))
         .where(F.col("velocity").isNotNull())
         .withColumn("weeks", week_range(dates))
-        .select(
-            "sku_id", "velocity", F.element_at("weeks", 1).alias("first_week"),
-            F.transform("weeks", lambda w: F.coalesce(F.col("sold")[w], F.lit(0))).alias("units"),
-        )
+        .withColumn("units", F.transform("weeks", lambda w: F.coalesce(F.col("sold")[w], F.lit(0).cast("bigint"))))
+        .withColumn("stock", fold("units", "velocity"))
     )
-    sku_type = dict(per_sku.dtypes)["sku_id"]
-    ledger = per_sku.mapInPandas(
-        _fold_weeks,
-        f"sku_id {sku_type}, week int, first_week date, velocity int, opening_stock bigint, "
-        "units_sold bigint, units_received bigint, closing_stock bigint",
+    spread = per_sku.select("sku_id", "velocity", "units", "stock", F.posexplode("weeks").alias("week", "week_start_date"))
+    of_week = lambda c: F.get(c, F.col("week"))
+    ledger = spread.select(
+        "week_start_date", "sku_id", "velocity", of_week("stock.opening").alias("opening_stock"), of_week("units").alias("units_sold"),
+        of_week("stock.received").alias("units_received"), of_week("stock.closing").alias("closing_stock"),
     )
     return ledger.select(
-        F.date_add("first_week", F.col("week") * 7).alias("week_start_date"),
-        "sku_id", "opening_stock", "units_sold", "units_received", "closing_stock",
+        "week_start_date", "sku_id", "opening_stock", "units_sold", "units_received", "closing_stock",
         ((F.col("closing_stock") == 0) & (F.col("units_sold") > 0)).alias("oos_flag"),
         rnd(dbl("closing_stock") / F.col("velocity"), 2).alias("weeks_of_cover"),
     )
 
 
-def _fold_weeks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for start in range(0, len(batch), _SKUS_PER_BATCH):
-            part = batch.iloc[start : start + _SKUS_PER_BATCH]
-            sold = np.stack(part["units"].to_numpy()).astype(np.int64)
-            velocity = part["velocity"].to_numpy(np.int64)
-            opening, received, closing = (np.empty_like(sold) for _ in range(3))
-            stock = velocity * OPENING_WEEKS
-            for week in range(sold.shape[1]):
-                opening[:, week] = stock
-                received[:, week] = np.where(stock < REORDER_BELOW_WEEKS * velocity, velocity * TOP_UP_WEEKS, 0)
-                stock = np.maximum(0, stock + received[:, week] - sold[:, week])
-                closing[:, week] = stock
-            weeks = sold.shape[1]
-            yield pd.DataFrame(
-                {
-                    "sku_id": np.repeat(part["sku_id"].to_numpy(), weeks),
-                    "week": np.tile(np.arange(weeks, dtype=np.int32), len(part)),
-                    "first_week": np.repeat(part["first_week"].to_numpy(), weeks),
-                    "velocity": np.repeat(velocity.astype(np.int32), weeks),
-                    "opening_stock": opening.ravel(),
-                    "units_sold": sold.ravel(),
-                    "units_received": received.ravel(),
-                    "closing_stock": closing.ravel(),
-                }
-            )
+def _fold_weeks(units: pa.Array, velocities: pa.Array) -> pa.Array:
+    """Opening stock, receipts and closing stock of each week, from the weeks' units; all arrays are as long."""
+    velocity = velocities.to_numpy(zero_copy_only=False).astype(np.int64)
+    sold = units.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(units), -1) if len(units) else np.zeros((0, 0), np.int64)
+    weeks = sold.shape[1]
+    opening, received, closing = (np.empty((weeks, len(sold)), np.int64) for _ in range(3))
+    stock = velocity * OPENING_WEEKS
+    for week in range(weeks):
+        opening[week] = stock
+        received[week] = np.where(stock < REORDER_BELOW_WEEKS * velocity, velocity * TOP_UP_WEEKS, 0)
+        stock = np.maximum(0, stock + received[week] - sold[:, week])
+        closing[week] = stock
+    offsets = pa.array(np.arange(len(sold) + 1, dtype=np.int32) * weeks)
+    arrays = [pa.ListArray.from_arrays(offsets, np.ascontiguousarray(x.T).ravel()) for x in (opening, received, closing)]
+    return pa.StructArray.from_arrays(arrays, ["opening", "received", "closing"])
