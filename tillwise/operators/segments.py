@@ -1,7 +1,10 @@
 """Customer segmentation: recency, frequency and monetary scores, clusters, cross-tabs."""
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -14,6 +17,9 @@ from tillwise.operators.order_stats import ntile_score, quartiles
 from tillwise.sources.scratch import durable
 
 MEASURES = ["recency_days", "frequency", "monetary"]
+SETTLED = 1e-4  # a centre that moves less has come to rest, as in Spark's K-means
+CHUNK = 1024  # points that meet all centres at once in a task
+SIDE_BY_SIDE = 4  # initialisations that run at once
 
 
 def rfm_base(transactions: DataFrame, customers: DataFrame, daily: DataFrame) -> DataFrame:
@@ -170,30 +176,119 @@ def _vectors(scaled: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="features").transform(scaled)
 
 
-def fit_clusters(points: DataFrame, k: int, seed: int, restarts: int = 10, iterations: int = 300):
-    """K-means; of several restarts the one with the least inertia."""
-    models = [
-        KMeans(k=k, seed=seed + i, maxIter=iterations, featuresCol="features", predictionCol="cluster").fit(points)
-        for i in range(restarts)
-    ]
-    return min(models, key=lambda m: m.summary.trainingCost)
+def _blocks(points: DataFrame, columns: list[str]) -> DataFrame:
+    """The points as blocks of coordinates, which every pass reads at little cost."""
+
+    def pack(batches):
+        for batch in batches:
+            rows = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns]).astype(float)
+            parts = [rows[at : at + CHUNK].tobytes() for at in range(0, len(rows), CHUNK)]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["block"])
+
+    return durable(points.select(*columns).mapInArrow(pack, "block binary"))
+
+
+def _tally(models: list[np.ndarray]):
+    """What a task adds to one step of several models: a row of size, sums and sum of squares per centre.
+
+    Centres are stacked by their number within the model, models with more centres first, so that the
+    j-th centres of all models that have one are neighbours. Returned with the (model, centre) of each.
+    """
+    order = sorted(range(len(models)), key=lambda i: -len(models[i]))
+    slots = [(i, j) for j in range(len(models[order[0]])) for i in order if len(models[i]) > j]
+    centres = np.array([models[i][j] for i, j in slots])
+    ends = np.cumsum([sum(len(m) > j for m in models) for j in range(len(models[order[0]]))])
+    width, plane = centres.shape[1], np.hstack([-centres, (centres * centres).sum(axis=1, keepdims=True) / 2])
+
+    def run(batches):
+        found = np.zeros((len(slots), width + 2))
+        for batch in batches:
+            for block in batch.column(0):
+                x = np.frombuffer(block.as_buffer()).reshape(-1, width)
+                ones = np.ones((len(x), 1))
+                far = plane @ np.hstack([x, ones]).T  # half the squared distance, less half the square of the point
+                best = far[: ends[0]].copy()
+                for a, b in zip(ends, ends[1:]):
+                    np.minimum(best[: b - a], far[a:b], out=best[: b - a])
+                free, own = np.ones(best.shape, bool), np.empty(far.shape)
+                for a, b in zip([0, *ends], ends):  # of centres equally near the first has the point
+                    hit = (far[a:b] == best[: b - a]) & free[: b - a]
+                    free[: b - a] ^= hit
+                    own[a:b] = hit
+                found += own @ np.hstack([ones, x, (x * x).sum(axis=1, keepdims=True)])
+        kept = np.flatnonzero(found[:, 0])
+        if len(kept):
+            yield pa.RecordBatch.from_arrays([pa.array(kept), *[pa.array(v) for v in found[kept].T]], ["slot", *[f"v{i}" for i in range(width + 2)]])
+
+    return slots, run
+
+
+def refine(points: DataFrame, columns: list[str], models: list[np.ndarray], iterations: int) -> list[tuple[np.ndarray, float]]:
+    """Lloyd's steps from each model's first centres until they move no more, with the inertia met by the last step.
+
+    All models that still move share the passes over the points, so there are as many passes as the
+    longest of the fits has steps. Tasks send sums per centre, whatever the number of points.
+    """
+    blocks, names = _blocks(points, columns), [f"v{i}" for i in range(len(columns) + 2)]
+    models, inertia = [np.array(m, dtype=float) for m in models], [0.0] * len(models)
+    moving = list(range(len(models)))
+    for _ in range(iterations):
+        if not moving:
+            break
+        slots, run = _tally([models[i] for i in moving])
+        parts = blocks.mapInArrow(run, "slot bigint, " + ", ".join(f"{v} double" for v in names))
+        moved = set()
+        for i in moving:
+            inertia[i] = 0.0
+        for slot, size, *sums, squares in parts.groupBy("slot").agg(*[F.sum(v) for v in names]).collect():
+            i, j = moving[slots[slot][0]], slots[slot][1]
+            old, new = models[i][j].copy(), np.array(sums) / size  # a centre without points stays
+            inertia[i] += max(squares - 2 * old @ sums + size * old @ old, 0.0)
+            if ((new - old) ** 2).sum() > SETTLED**2:
+                moved.add(i)
+            models[i][j] = new
+        moving = sorted(moved)
+    return list(zip(models, inertia))
+
+
+def fit_clusters(points: DataFrame, columns: list[str], ks, seed: int, restarts: int = 10, iterations: int = 300) -> list[tuple[np.ndarray, float]]:
+    """K-means for each k: centres and inertia of the one of several restarts with the least inertia.
+
+    The first centres are those of Spark's K-means with the same seed.
+    """
+    vectors = _vectors(points, columns)
+
+    def start(task: tuple[int, int]) -> np.ndarray:
+        first = KMeans(k=task[0], seed=seed + task[1], maxIter=0, featuresCol="features", predictionCol="cluster").fit(vectors)
+        return np.array(first.clusterCenters())
+
+    with ThreadPool(SIDE_BY_SIDE) as pool:
+        models = pool.map(start, [(k, i) for k in ks for i in range(restarts)], chunksize=1)
+    fits = refine(points, columns, models, iterations)
+    return [min(fits[at : at + restarts], key=lambda fit: fit[1]) for at in range(0, len(fits), restarts)]
+
+
+def nearest(columns: list[str], centres: np.ndarray) -> Column:
+    """Number of the centre nearest to a point."""
+    far = F.array(*[reduce(lambda a, b: a + b, [(F.col(c) - float(v)) * (F.col(c) - float(v)) for c, v in zip(columns, centre)]) for centre in centres])
+    return (F.array_position(far, F.array_min(far)) - 1).cast("int")
 
 
 def cluster_sweep(scaled: DataFrame, columns: list[str], ks=range(2, 8), seed: int = 42, restarts: int = 10, iterations: int = 300) -> DataFrame:
     """Inertia and silhouette for each k. Silhouette uses squared distances, which needs one pass."""
-    points = _vectors(durable(scaled), columns)
+    points = durable(scaled)
     judge = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
     found = []
-    for k in ks:
-        model = fit_clusters(points, k, seed, restarts, iterations)
-        found.append((k, float(model.summary.trainingCost), float(judge.evaluate(model.transform(points)))))
+    for k, (centres, inertia) in zip(ks, fit_clusters(points, columns, ks, seed, restarts, iterations)):
+        labelled = _vectors(points, columns).withColumn("cluster", nearest(columns, centres))
+        found.append((k, float(inertia), float(judge.evaluate(labelled))))
     return scaled.sparkSession.createDataFrame(found, "k int, inertia double, silhouette double")
 
 
 def cluster_labels(base: DataFrame, scaled: DataFrame, columns: list[str], key: str, k: int = 4, seed: int = 42, restarts: int = 10, iterations: int = 300):
-    points = _vectors(durable(scaled), columns)
-    labels = fit_clusters(points, k, seed, restarts, iterations).transform(points).select(key, "cluster")
-    return base.join(labels, key)
+    points = durable(scaled)
+    ((centres, _),) = fit_clusters(points, columns, [k], seed, restarts, iterations)
+    return base.join(points.select(key, nearest(columns, centres).alias("cluster")), key)
 
 
 def cluster_means(labelled: DataFrame, columns: list[str]) -> DataFrame:
