@@ -1,11 +1,15 @@
 """Readers, writers and stores."""
 
+import gzip
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.compare import rows_of_spark
 from tests.conftest import SMALL
 from tillwise.operators.contract import check_contract, count_broken, screen
+from tillwise.plans import tables
 from tillwise.plans.present import present
 from tillwise.plans.registry import all_plans
 from tillwise.settings import FASHION_STORE
@@ -76,6 +80,32 @@ def test_csv_header_must_fit_the_schema(spark, tmp_path):
         io.read_csv_table(spark, str(tmp_path), "products").collect()
 
 
+def shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in files.mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_csv_tables_take_little_disk(spark, tmp_path, monkeypatch):
+    """The inventory, a row for each SKU and week, is packed; what was shuffled goes with its table; no row is left out."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before, raw = spark.conf.get(key, None), shuffle_files(spark), StarStore(spark, SMALL)
+    monkeypatch.setattr(tables, "scratch_path", lambda _, name: str(tmp_path / name))
+    monkeypatch.setitem(io.PACKED, "maxRecordsPerFile", 5000)
+    sums = tables.csv_tables(raw)
+    until = time.time() + 10  # files go in the background
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left and spark.conf.get(key, None) == setting
+    files = [f.read_bytes() for f in (tmp_path / "csv" / "inventory.csv").glob("part-*")]
+    read = [gzip.decompress(f) for f in files]
+    assert sum(map(len, files)) < 0.2 * sum(map(len, read))
+    got, rows = {r.table_name: r.num_rows for r in sums.collect()}, [text.count(b"\n") - 1 for text in read]
+    assert max(rows) <= 5000 and sum(rows) == got["inventory"]
+    for table, frame in tables.seven_tables(raw).items():
+        written, back = conform(frame, table), io.read_csv_table(spark, str(tmp_path / "csv"), table)
+        assert back.count() == got[table] and back.exceptAll(written).isEmpty() and written.exceptAll(back).isEmpty()
+
+
 def test_missing_tables_are_empty(spark, tmp_path):
     empty = io.read_optional(spark, str(tmp_path), "forecast_log")
     assert empty.count() == 0 and "context_flags" in empty.columns

@@ -15,8 +15,21 @@ TOP_UP_WEEKS = 6
 REORDER_BELOW_WEEKS = 4
 
 
+def weeks_sold(units: DataFrame) -> DataFrame:
+    """The weeks that a SKU sold in and the units of each, as two arrays in one row, at most as long as there are weeks."""
+    return units.where(F.col("week_start").isNotNull()).groupBy("sku_id").agg(
+        F.collect_list("week_start").alias("sold_in"),
+        F.collect_list(F.coalesce("units_sold", F.lit(0)).cast("bigint")).alias("sold"),
+    )
+
+
 def stock_ledger(units: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
-    """Running stock per SKU and week with replenishment below four weeks of cover.
+    """Running stock per SKU and week with replenishment below four weeks of cover."""
+    return ledger_of(weeks_sold(units), products, dates)
+
+
+def ledger_of(sold: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
+    """The ledger from the weeks that each SKU sold in.
 
     Each week depends on the one before, so a SKU's weeks are folded in order. They come
     as one array per SKU, whose length is the number of weeks; the fold steps through the
@@ -26,15 +39,14 @@ def stock_ledger(units: DataFrame, products: DataFrame, dates: DataFrame) -> Dat
     velocity = F.lit(10)
     for tier, weekly in VELOCITY.items():
         velocity = F.when(F.col("price_tier") == tier, weekly).otherwise(velocity)
-    entry = F.struct("week_start", F.col("units_sold").cast("bigint").alias("units_sold"))
-    known = products.select("sku_id", velocity.alias("velocity"), F.lit(None).alias("entry"))
-    sold = units.select("sku_id", F.lit(None).cast("int").alias("velocity"), entry.alias("entry"))
+    known = products.select("sku_id", velocity.alias("velocity"))
     fold = F.arrow_udf(_fold_weeks, "struct<opening: array<bigint>, received: array<bigint>, closing: array<bigint>>")
-    # a SKU and its weeks meet in one shuffle
+    # a SKU and its weeks meet in one shuffle, to which either gives one row
     per_sku = (
-        dealt(known.unionByName(sold))
+        dealt(known.unionByName(sold, allowMissingColumns=True))
         .groupBy("sku_id")
-        .agg(F.max("velocity").alias("velocity"), F.map_from_entries(F.collect_list("entry")).alias("sold"))
+        .agg(F.max("velocity").alias("velocity"), *[F.first(c, ignorenulls=True).alias(c) for c in ("sold_in", "sold")])
+        .withColumn("sold", F.map_from_arrays("sold_in", "sold"))
         .where(F.col("velocity").isNotNull())
         .withColumn("weeks", week_range(dates))
         .withColumn("units", F.transform("weeks", lambda w: F.coalesce(F.col("sold")[w], F.lit(0).cast("bigint"))))

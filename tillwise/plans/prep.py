@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tillwise.operators import prep, stock
+from tillwise.sources.scratch import durable
 from tillwise.sources.star import pick
 
 
@@ -20,10 +21,16 @@ def units(s):
     return prep.weekly_units(s.dated_items)
 
 
-def inventory(s):
-    """The inventory that the store holds, else a ledger made from the units sold."""
+def inventory(s, settled: bool = False):
+    """The inventory that the store holds, else a ledger made from the units sold.
+
+    Settled, the weeks sold are written first, so that what the lines were shuffled for need not stay while the ledger is spread.
+    """
     found = s.stored("inventory")
-    return stock.stock_ledger(units(s), s.products, s.item_dates) if found is None else found
+    if found is not None:
+        return found
+    sold = stock.weeks_sold(units(s))
+    return stock.ledger_of(durable(sold) if settled else sold, s.products, s.item_dates)
 
 
 PLANS = {

@@ -14,7 +14,7 @@ from tillwise.plans.prep import inventory
 from tillwise.plans.present import present
 from tillwise.sources import tables as io
 from tillwise.sources.schemas import conform
-from tillwise.sources.scratch import durable, scratch_path
+from tillwise.sources.scratch import durable, scratch_path, shuffles_removed
 
 # The column of each table whose sum is shown next to its row count.
 SUMMED = {
@@ -33,11 +33,17 @@ def seven_tables(s) -> dict[str, DataFrame]:
 
 
 def csv_tables(s):
-    """Write the seven tables as CSV, read them back with their schemas, and sum them up."""
+    """Write the seven tables as CSV, read them back with their schemas, and sum them up.
+
+    The inventory has a row for each SKU and week, many times the input, so the files are packed. What a table was
+    shuffled for goes before the next is written.
+    """
     folder = scratch_path(s.spark, "csv")
     parts = []
-    for table, frame in seven_tables(s).items():
-        io.write_csv(conform(frame, table), f"{folder}/{table}.csv")
+    for table in SUMMED:
+        with shuffles_removed(s.spark):
+            frame = inventory(s, settled=True) if table == "inventory" else getattr(s, table)
+            io.write_csv(conform(frame, table), f"{folder}/{table}.csv", packed=True)
         back = io.read_csv_table(s.spark, folder, table)
         parts.append(
             back.agg(F.count("*").alias("num_rows"), F.sum(SUMMED[table]).cast("double").alias("column_sum")).select(

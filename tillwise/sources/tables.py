@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from tillwise.sources.schemas import SCHEMAS
 
+# Packed files: of the levels of gzip the last before the time grows faster than the files shrink, and rows in each.
+PACKED = {"compression": "gzip", "zlib.compress.level": "FIVE", "maxRecordsPerFile": 2_000_000}
+
 
 def read_csv_table(spark: SparkSession, directory: str, table: str) -> DataFrame:
     """CSV with header and fixed types. The text None stays text; only empty fields are null."""
@@ -58,8 +61,9 @@ def sql_frame(spark: SparkSession, text: str, views: dict[str, DataFrame], dates
     return out.withColumns({c: F.col(c).cast("date") for c in dates})
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, packed: bool = False) -> None:
+    """CSV with header. Packed files take a small part of the disk; each is read by one task, so its rows are bounded."""
+    df.write.mode("overwrite").option("header", True).options(**(PACKED if packed else {})).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
